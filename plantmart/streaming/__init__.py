@@ -1,0 +1,5 @@
+"""Intentionally empty.
+
+Every delivery is a full extract under an unchanged name that replaces the previous one. That
+is a snapshot replacement, not an append-only source, so no stream, watermark or state applies.
+"""
