@@ -21,18 +21,26 @@ _SCHEMA = (
 _COLUMNS = ["source", "file", "part", "modified", "part_bytes", "chunk_start"]
 
 
-def _read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add the bytes of each listed range; one chunk is in memory at a time."""
-    from pyarrow import fs
+def _chunk_reader():
+    """A local function travels to the executors by value, so they need not have this package."""
+    kept = list(_COLUMNS)
 
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            store, path = fs.FileSystem.from_uri(row["path"][0].as_py())
-            with store.open_input_file(path) as handle:
-                content = handle.read_at(row["chunk_bytes"][0].as_py(), row["chunk_start"][0].as_py())
-            columns = [row[c] for c in _COLUMNS] + [pa.array([content], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, [*_COLUMNS, "content"])
+    def read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Add the bytes of each listed range; one chunk is in memory at a time."""
+        from pyarrow import fs
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                store, path = fs.FileSystem.from_uri(row["path"][0].as_py())
+                with store.open_input_file(path) as handle:
+                    content = handle.read_at(
+                        row["chunk_bytes"][0].as_py(), row["chunk_start"][0].as_py()
+                    )
+                columns = [row[c] for c in kept] + [pa.array([content], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, [*kept, "content"])
+
+    return read_chunks
 
 
 def replica_chunks(
@@ -45,6 +53,7 @@ def replica_chunks(
     """
     wanted = accepted.select(F.col("job.source_path").alias("extract"), F.col("job.source_system").alias("source"))
     listed = files.withColumn("extract", names.extract_path(F.col("path"))).join(wanted, "extract")
+    zero = F.lit(0).cast("bigint")
     ranges = listed.select(
         "source",
         names.base_name(F.col("extract")).alias("file"),
@@ -53,11 +62,11 @@ def replica_chunks(
         F.col("length").alias("part_bytes"),
         "path",
         F.explode(
-            F.sequence(F.lit(0), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(chunk_bytes))
-        ).cast("bigint").alias("chunk_start"),
+            F.sequence(zero, F.greatest(F.col("length") - 1, zero), F.lit(chunk_bytes).cast("bigint"))
+        ).alias("chunk_start"),
     ).withColumn("chunk_bytes", F.least(F.lit(chunk_bytes), F.col("part_bytes") - F.col("chunk_start")))
     spread = ranges.repartition(tasks, "path", "chunk_start")
-    return spread.mapInArrow(_read_chunks, _SCHEMA).withColumn("sha256", F.sha2("content", 256))
+    return spread.mapInArrow(_chunk_reader(), _SCHEMA).withColumn("sha256", F.sha2("content", 256))
 
 
 def replicate(

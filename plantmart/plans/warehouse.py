@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plantmart import storage
-from plantmart.contracts import LOADED_AT, PLANTS, SOURCE, Contract
+from plantmart.contracts import PLANTS, SOURCE, Contract
 from plantmart.functions.casts import contract_projection, overlong
 from plantmart.operators.quality import REQUIRED, check_keys, typed_rules
 from plantmart.sources.raw import RawZone
@@ -73,6 +73,40 @@ def require_success(result: ReloadResult) -> ReloadResult:
     return result
 
 
+class Snapshot:
+    """The tables of one publish record. Reads through it stay consistent while others publish."""
+
+    def __init__(self, spark: SparkSession, contracts: Mapping[str, Contract], tables: dict[str, Published]):
+        self.spark = spark
+        self.contracts = contracts
+        self.published = tables
+
+    def __contains__(self, table: str) -> bool:
+        return table in self.published
+
+    def read(self, table: str) -> DataFrame:
+        """Rows of a table, all sources merged; the declared schema spares reading footers."""
+        return read_typed(self.spark, self.contracts[table], self.published[table].path)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: self.read(name) for name in self.published}
+
+    def lookup_bytes(self, table: str, columns: Sequence[str]) -> int | None:
+        """Upper bound of the in-memory size of some columns: published rows times declared width."""
+        width = self.contracts[table].row_bytes(columns)
+        return None if width is None else self.published[table].rows * width
+
+    def create_views(self, prefix: str = "") -> None:
+        """One view per table over the rows of all sources."""
+        for name, rows in self.tables().items():
+            rows.createOrReplaceTempView(prefix + name)
+
+
+def read_typed(spark: SparkSession, contract: Contract, path: str) -> DataFrame:
+    stored = spark.read.schema(contract.schema).parquet(path)
+    return stored.select(*contract.schema.names)
+
+
 class Warehouse:
     """Tables live in one folder per run; a numbered record names the current folder of each.
 
@@ -86,53 +120,33 @@ class Warehouse:
         self.base = base.rstrip("/")
         self.contracts = contracts
 
-    # Published state
-
     def _records(self) -> list[int]:
         names = storage.child_names(self.spark, f"{self.base}/published")
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
-    def published(self) -> dict[str, Published]:
-        numbers = self._records()
-        if not numbers:
-            return {}
-        record = json.loads(storage.read_text(self.spark, self._record_path(numbers[-1])))
-        return {name: Published(**entry) for name, entry in record["tables"].items()}
-
     def _record_path(self, number: int) -> str:
         return f"{self.base}/published/{number:010d}.json"
 
+    def _record(self, number: int) -> dict:
+        return json.loads(storage.read_text(self.spark, self._record_path(number)))
+
+    def published(self) -> dict[str, Published]:
+        numbers = self._records()
+        tables = self._record(numbers[-1])["tables"] if numbers else {}
+        return {name: Published(**entry) for name, entry in tables.items()}
+
     def _publish(self, run_id: str, number: int, tables: Mapping[str, Published]) -> None:
         record = {"run_id": run_id, "tables": {n: vars(p) for n, p in tables.items()}}
         storage.publish_text(self.spark, self._record_path(number), json.dumps(record, indent=1))
 
-    def _read_path(self, table: str, path: str) -> DataFrame:
-        contract = self.contracts[table]
-        stored = self.spark.read.schema(contract.schema).parquet(path)
-        return stored.select(*contract.schema.names)
+    def snapshot(self) -> Snapshot:
+        return Snapshot(self.spark, self.contracts, self.published())
 
     def read(self, table: str) -> DataFrame:
-        """Current rows of a table; the declared schema spares reading footers."""
-        return self._read_path(table, self.published()[table].path)
-
-    def tables(self) -> dict[str, DataFrame]:
-        return {name: self._read_path(name, p.path) for name, p in self.published().items()}
-
-    def lookup_bytes(self, table: str, columns: Sequence[str]) -> int | None:
-        """Upper bound of the in-memory size of some columns: published rows times declared width."""
-        width = self.contracts[table].row_bytes(columns)
-        return None if width is None else self.published()[table].rows * width
-
-    def create_views(self, prefix: str = "") -> None:
-        """One view per table over the rows of all sources."""
-        for name, rows in self.tables().items():
-            rows.createOrReplaceTempView(prefix + name)
+        return self.snapshot().read(table)
 
     # Reload
 
-    def typed(self, table: str, raw: DataFrame) -> DataFrame:
-        return raw.select(*contract_projection(self.contracts[table]))
-
     def _load(self, raw_zone: RawZone, table: str, run_id: str, strict_keys: bool):
         """Write one table to its run folder, counting rows and violations in the same pass."""
         contract = self.contracts[table]
@@ -163,7 +177,7 @@ class Warehouse:
         if missing:
             raise ContractViolation(f"{table}: NULL in required columns {missing}")
         if strict_keys and contract.key:
-            surplus = check_keys(self._read_path(table, path), contract).collect()
+            surplus = check_keys(read_typed(self.spark, contract, path), contract).collect()
             if surplus:
                 raise ContractViolation(
                     f"{table}: repeated keys {({r[SOURCE]: r.violations for r in surplus})}"
@@ -214,7 +228,7 @@ class Warehouse:
         kept = numbers[-keep:]
         used = set()
         for number in kept:
-            record = json.loads(storage.read_text(self.spark, self._record_path(number)))
+            record = self._record(number)
             used |= {entry["path"].rsplit("/", 2)[1] for entry in record["tables"].values()}
             used.add(record["run_id"])
         gone = [r for r in storage.child_names(self.spark, f"{self.base}/runs") if r not in used]

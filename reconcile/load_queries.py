@@ -130,7 +130,7 @@ def merged_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     _drifted_parts(site)
     site.loaded("part")
     prefix = f"{site.zones.database}_"
-    site.warehouse().create_views(prefix)
+    site.snapshot().create_views(prefix)
     return spark.sql(
         f"SELECT source, p_brand, count(*) AS row_count, count(p_size) AS sizes FROM {prefix}part GROUP BY ALL"
     )
@@ -246,7 +246,7 @@ def reload_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _table_counts(site: Site) -> DataFrame:
     counted = None
-    for name, rows in site.warehouse().tables().items():
+    for name, rows in site.snapshot().tables().items():
         one = rows.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         counted = one if counted is None else counted.unionAll(one)
     return counted
@@ -303,7 +303,7 @@ def source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     site.deliver(parts.filter("p_partkey % 2 = 1"), "OLD", "part")
     site.run()
     counted = None
-    for name, rows in site.warehouse().tables().items():
+    for name, rows in site.snapshot().tables().items():
         one = rows_per_source(rows, name)
         counted = one if counted is None else counted.unionAll(one)
     return counted

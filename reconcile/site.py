@@ -20,7 +20,7 @@ from plantmart.plans.daily_run import (
     write_configs,
 )
 from plantmart.plans.ingest import Ingested
-from plantmart.plans.warehouse import ReloadResult, Warehouse
+from plantmart.plans.warehouse import ReloadResult, Snapshot, Warehouse
 from plantmart.sources.delimited import Layout
 from plantmart.sources.landing import Zones
 from plantmart.sources.raw import RawZone
@@ -115,6 +115,9 @@ class Site:
     def ingest(self) -> list[Ingested]:
         return ingest_landing(self.zone(), self.survey(), self.contracts, LOADED)
 
+    def snapshot(self) -> Snapshot:
+        return self.warehouse().snapshot()
+
     def reload(self, table: str | None = None, **options) -> ReloadResult:
         return self.warehouse().reload(self.zone(), table, **options)
 
