@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,12 +89,26 @@ def discover(spark: SparkSession, base: str) -> DataFrame:
     """Every file below the landed base; the file contents are not read."""
     if not storage.exists(spark, base):
         return spark.createDataFrame([], FILES_SCHEMA)
-    return (
+    found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(base)
         .select("path", "length", "modificationTime")
     )
+    # The scan leaves out files of no length. They are deliveries too, so they are added by name.
+    named = {_plain_path(name) for name in found.inputFiles()}
+    if len(named) == found.count():
+        return found
+    every = spark.createDataFrame([(name,) for name in named], "path string")
+    empty = every.join(found, "path", "left_anti").select(
+        "path", F.lit(0).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modificationTime")
+    )
+    return found.unionByName(empty)
+
+
+def _plain_path(uri: str) -> str:
+    """A file name as the scan spells it: nothing escaped, one slash after a bare ``file:``."""
+    return re.sub("^file:/+", "file:/", unquote(uri))
 
 
 def read_configs(spark: SparkSession, folder: str) -> DataFrame:

@@ -194,7 +194,7 @@ def _nullable_key(spark: SparkSession, sf_dir: str) -> Site:
     rows = site.table("lineitem").withColumn(
         "l_orderkey", F.when(F.col("l_linenumber") != 7, F.col("l_orderkey"))
     )
-    site.deliver_by_plant(rows, "l_partkey", "lineitem")
+    site.deliver_by_plant(rows, "l_partkey", "lineitem", parts=4)
     return site
 
 

@@ -197,7 +197,7 @@ def windows_1252_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     site = Site(spark, sf_dir)
     rows = site.table("documents").withColumnRenamed("source", "origin")
     layout = Layout(encoding="windows-1252", multi_line=True)
-    site.deliver_by_plant(rows, "doc_id", "documents", layout=layout)
+    site.deliver_by_plant(rows, "doc_id", "documents", layout=layout, parts=4)
     return site.loaded("documents")
 
 

@@ -41,7 +41,7 @@ def padded_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = site.table("lineitem").withColumn(
         "l_orderkey", F.when(F.col("l_linenumber") == 7, F.lit("   ")).otherwise(padded)
     )
-    site.deliver_by_plant(rows, "l_partkey", "lineitem")
+    site.deliver_by_plant(rows, "l_partkey", "lineitem", parts=4)
     return site.loaded("lineitem")
 
 
@@ -59,7 +59,7 @@ def declared_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text cut to fifty characters, a flag to one."""
     site = Site(spark, sf_dir, _short_texts())
     rows = site.table("documents").withColumnRenamed("source", "origin")
-    site.deliver_by_plant(rows, "doc_id", "documents", layout=Layout(multi_line=True))
+    site.deliver_by_plant(rows, "doc_id", "documents", layout=Layout(multi_line=True), parts=4)
     site.deliver_tables("orders")
     documents = site.loaded("documents")
     orders = site.loaded("orders")
@@ -77,7 +77,7 @@ def cut_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many values the reload had to cut, counted while it wrote."""
     site = Site(spark, sf_dir, _short_texts())
     rows = site.table("documents").withColumnRenamed("source", "origin")
-    site.deliver_by_plant(rows, "doc_id", "documents", layout=Layout(multi_line=True))
+    site.deliver_by_plant(rows, "doc_id", "documents", layout=Layout(multi_line=True), parts=4)
     site.deliver_tables("orders")
     site.ingest()
     cut = site.reload().cut_values
@@ -327,7 +327,7 @@ def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole daily run on three tables, then totals per table and plant next to its report."""
     site = Site(spark, sf_dir)
     for table, (key, _) in _TOTALS.items():
-        site.deliver_by_plant(site.table(table), key, table)
+        site.deliver_by_plant(site.table(table), key, table, parts=4)
     report = site.run().reload.report(spark)
     totals = None
     for table, (_, amount) in _TOTALS.items():

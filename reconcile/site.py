@@ -66,8 +66,9 @@ class Site:
         stem: str | None = None,
         suffix: str = "_prod_extract",
         extension: str = ".csv.gz",
+        parts: int = 1,
     ) -> None:
-        """Write an extract as its part files, replacing the previous one.
+        """Write an extract as its part files, at least so many, replacing the previous one.
 
         Values are turned to text first: the CSV writer would cut timestamps to milliseconds.
         """
@@ -80,6 +81,8 @@ class Site:
             "MultiLine": str(layout.multi_line).lower(),
         }
         texts = rows.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns])
+        if parts > 1 and texts.rdd.getNumPartitions() < parts:
+            texts = texts.repartition(parts, F.monotonically_increasing_id())
         (
             texts.write.mode("overwrite")
             .option("header", layout.has_header)
