@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 from plantmart.contracts import LOADED_AT, PLANTS, SOURCE, Contract, Reference
 from plantmart.functions.casts import malformed, overlong
 from plantmart.operators.joins import orphan_keys
+from plantmart.operators.merge import union_all
 
 REQUIRED = "not null"
 ALLOWED = "allowed values"
@@ -137,7 +137,7 @@ def check_tables(
         for reference in contract.references:
             if reference.parent in tables:
                 found.append(check_reference(rows, tables[reference.parent], name, reference))
-    return reduce(DataFrame.unionByName, found)
+    return union_all(found)
 
 
 def rows_per_source(typed: DataFrame, table: str, plants: Sequence[str] = PLANTS) -> DataFrame:
