@@ -65,7 +65,9 @@ def replica_chunks(
             F.sequence(zero, F.greatest(F.col("length") - 1, zero), F.lit(chunk_bytes).cast("bigint"))
         ).alias("chunk_start"),
     ).withColumn("chunk_bytes", F.least(F.lit(chunk_bytes), F.col("part_bytes") - F.col("chunk_start")))
-    spread = ranges.repartition(tasks, "path", "chunk_start")
+    # Neighbouring chunks stay together, so a task writes a few large files instead of many small ones.
+    block = F.floor(F.col("chunk_start") / F.lit(TASK_BYTES))
+    spread = ranges.repartition(tasks, F.col("path"), block)
     return spread.mapInArrow(_chunk_reader(), _SCHEMA).withColumn("sha256", F.sha2("content", 256))
 
 

@@ -37,6 +37,12 @@ class RawZone:
         prefix = f"{SOURCE}="
         return [unquote(f[len(prefix):]) for f in folders if f.startswith(prefix)]
 
+    def layout_differences(self, table: str, expected: Iterable[str]) -> list[tuple[str, str]]:
+        """(source, problem) where the partition folders differ from the expected sources."""
+        found, wanted = set(self.sources(table)), set(expected)
+        missing = [(source, "missing") for source in sorted(wanted - found)]
+        return missing + [(source, "unexpected") for source in sorted(found - wanted)]
+
     def tables(self) -> set[str]:
         """Tables the catalog knows."""
         return {t.name for t in self.spark.catalog.listTables(_quoted(self.database))}

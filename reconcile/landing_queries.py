@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plantmart.contracts import LOADED_AT, SOURCE
 from plantmart.functions.casts import contract_projection
+from plantmart.operators.merge import union_all
 from plantmart.plans.ingest import layout_of
 from plantmart.sources.delimited import Layout, scan_delimited
 from plantmart.sources.landing import Zones, extracts, manifest, rejects, route
@@ -137,7 +138,7 @@ def landed_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discover real files and configurations, route them, and count what each extract holds."""
     site = Site(spark, sf_dir)
     site.deliver_tables("customer", "part", "orders")
-    counted = None
+    counted = []
     for entry in site.survey().entries:
         rows = scan_delimited(spark, entry.job.source_path, layout_of(entry), parts=entry.delivery.parts)
         one = rows.agg(F.count("*").alias("row_count")).select(
@@ -145,8 +146,8 @@ def landed_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(entry.job.source_system).alias("source_system"),
             "row_count",
         )
-        counted = one if counted is None else counted.unionAll(one)
-    return counted
+        counted.append(one)
+    return union_all(counted)
 
 
 _LAYOUTS = {
@@ -173,7 +174,7 @@ def delimited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (stem, (layout, extension)) in enumerate(_LAYOUTS.items()):
         rows = customers.filter(F.floor(F.col("c_custkey") / 2) % 4 == i)
         site.deliver_by_plant(rows, "c_custkey", f"customer_{i}", layout=layout, stem=stem, extension=extension)
-    scans = None
+    scans = []
     for entry in site.survey().entries:
         stem = entry.copy.key.rsplit("/", 1)[1].split("_prod")[0]
         rows = scan_delimited(
@@ -184,8 +185,8 @@ def delimited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn(LOADED_AT, F.lit(LOADED))
             .select(*contract_projection(contract), F.lit(stem).alias("stem"))
         )
-        scans = one if scans is None else scans.unionAll(one)
-    return scans
+        scans.append(one)
+    return union_all(scans)
 
 
 @query(

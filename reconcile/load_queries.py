@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantmart.contracts import LOADED_AT, SOURCE
+from plantmart.operators.merge import union_all
 from plantmart.operators.quality import rows_per_source
 from plantmart.sources.delimited import Layout
 from reconcile.registry import query
@@ -172,7 +173,7 @@ def partition_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     site = Site(spark, sf_dir)
     site.deliver_tables("orders", "customer")
     site.ingest()
-    counted = None
+    counted = []
     for table in ("orders", "customer"):
         folder = F.regexp_extract("_metadata.file_path", "/source=([^/]*)/[^/]*$", 1)
         one = (
@@ -181,8 +182,8 @@ def partition_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count("*").alias("row_count"))
             .select(F.lit(table).alias("table_name"), SOURCE, "row_count")
         )
-        counted = one if counted is None else counted.unionAll(one)
-    return counted
+        counted.append(one)
+    return union_all(counted)
 
 
 @query("SELECT *, 500 AS second_status FROM (" + _audited("orders", "o_orderkey") + ")")
@@ -245,11 +246,11 @@ def reload_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _table_counts(site: Site) -> DataFrame:
-    counted = None
+    counted = []
     for name, rows in site.snapshot().tables().items():
         one = rows.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        counted = one if counted is None else counted.unionAll(one)
-    return counted
+        counted.append(one)
+    return union_all(counted)
 
 
 @query(
@@ -302,11 +303,11 @@ def source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     site.deliver(parts.filter("p_partkey % 2 = 0"), "DKQ", "part")
     site.deliver(parts.filter("p_partkey % 2 = 1"), "OLD", "part")
     site.run()
-    counted = None
+    counted = []
     for name, rows in site.snapshot().tables().items():
         one = rows_per_source(rows, name)
-        counted = one if counted is None else counted.unionAll(one)
-    return counted
+        counted.append(one)
+    return union_all(counted)
 
 
 _TOTALS = {
@@ -329,7 +330,7 @@ def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     for table, (key, _) in _TOTALS.items():
         site.deliver_by_plant(site.table(table), key, table, parts=4)
     report = site.run().reload.report(spark)
-    totals = None
+    totals = []
     for table, (_, amount) in _TOTALS.items():
         one = (
             site.warehouse().read(table)
@@ -341,5 +342,5 @@ def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
             .select(F.lit(table).alias("table_name"), SOURCE, "row_count", "amount", "loaded_at")
         )
-        totals = one if totals is None else totals.unionAll(one)
-    return totals.join(report.select("table_name", "status"), "table_name")
+        totals.append(one)
+    return union_all(totals).join(report.select("table_name", "status"), "table_name")

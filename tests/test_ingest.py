@@ -119,6 +119,8 @@ def test_numeric_looking_sources_stay_text(spark, tmp_path):
     lab.deliver("01", "CUSTOMER", ["IDENTITY", "C1"])
     ingest(lab)
     assert contents(lab, "customer") == [("01", "C1")]
+    assert lab.zone().layout_differences("customer", ["DKQ", "01"]) == [("DKQ", "missing")]
+    assert lab.zone().layout_differences("customer", []) == [("01", "unexpected")]
 
 
 def test_header_less_extract_takes_contract_names(spark, tmp_path):
