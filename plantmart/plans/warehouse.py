@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plantmart import storage
-from plantmart.contracts import PLANTS, SOURCE, Contract
+from plantmart.contracts import PLANTS, SOURCE, SOURCE_LENGTH, Contract
 from plantmart.functions.casts import contract_projection, overlong
 from plantmart.operators.quality import REQUIRED, check_keys, typed_rules
 from plantmart.sources.raw import RawZone
@@ -151,7 +151,7 @@ class Warehouse:
         """Write one table to its run folder, counting rows and violations in the same pass."""
         contract = self.contracts[table]
         raw = raw_zone.read(table)
-        sources = raw_zone.sources(table)
+        sources = sorted({s[:SOURCE_LENGTH] for s in raw_zone.sources(table)})
         bounded = [c for c in contract.columns if c.length is not None]
         counted = contract_projection(contract) + [
             overlong(c).alias(f"_cut_{c.name}") for c in bounded

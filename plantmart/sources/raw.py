@@ -15,18 +15,31 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# The printable characters that Spark escapes in the name of a partition folder.
+_ESCAPED = "\"#%'*/:=?\\{[]^"
+
+
+def _folder(source: str) -> str:
+    escaped = (f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 or ord(c) == 127 else c for c in source)
+    return f"{SOURCE}={''.join(escaped)}"
+
+
 class RawZone:
     def __init__(self, spark: SparkSession, base: str, database: str):
         self.spark = spark
         self.base = base.rstrip("/")
         self.database = database
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)} LOCATION '{self.base}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)} LOCATION {_literal(self.base)}")
 
     def path(self, table: str) -> str:
         return f"{self.base}/{table}"
 
     def leaf(self, table: str, source: str) -> str:
-        return f"{self.path(table)}/{SOURCE}={source}"
+        return f"{self.path(table)}/{_folder(source)}"
 
     def qualified(self, table: str) -> str:
         return f"{_quoted(self.database)}.{_quoted(table)}"
@@ -45,7 +58,8 @@ class RawZone:
 
     def tables(self) -> set[str]:
         """Tables the catalog knows."""
-        return {t.name for t in self.spark.catalog.listTables(_quoted(self.database))}
+        listed = self.spark.catalog.listTables(_quoted(self.database))
+        return {t.name for t in listed if not t.isTemporary}
 
     def holds(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.qualified(table))
@@ -73,12 +87,12 @@ class RawZone:
             fields = ", ".join(f"{_quoted(c)} STRING" for c in known + new)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({fields}, {LOADED_AT} TIMESTAMP, {SOURCE} STRING) "
-                f"USING parquet PARTITIONED BY ({SOURCE}) LOCATION '{self.path(table)}'"
+                f"USING parquet PARTITIONED BY ({SOURCE}) LOCATION {_literal(self.path(table))}"
             )
         elif new:
             fields = ", ".join(f"{_quoted(c)} STRING" for c in new)
             self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({fields})")
-        partitions = " ".join(f"PARTITION ({SOURCE}='{s}')" for s in self.sources(table))
+        partitions = " ".join(f"PARTITION ({SOURCE}={_literal(s)})" for s in self.sources(table))
         if partitions:
             self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {partitions}")
         self.spark.catalog.refreshTable(name)

@@ -76,6 +76,19 @@ def test_header_only_extract_empties_its_source(spark, tmp_path):
     assert lab.zone().sources("customer") == ["DKQ", "FOS"]
 
 
+def test_source_names_with_special_characters(spark, tmp_path):
+    lab = Lab(spark, tmp_path)
+    lab.configure()
+    for source in ("a'b=c", "d%e", "f g"):
+        lab.deliver(source, "CUSTOMER", ["IDENTITY", "C1"])
+    ingest(lab)
+    assert contents(lab, "customer") == [("a'b=c", "C1"), ("d%e", "C1"), ("f g", "C1")]
+    lab.deliver("a'b=c", "CUSTOMER", ["IDENTITY"])
+    ingest(lab)
+    assert contents(lab, "customer") == [("d%e", "C1"), ("f g", "C1")]
+    assert sorted(lab.zone().sources("customer")) == ["a'b=c", "d%e", "f g"]
+
+
 def test_first_extract_may_be_empty(spark, tmp_path):
     lab = Lab(spark, tmp_path)
     lab.configure()

@@ -189,6 +189,16 @@ def test_views_and_identity(lab):
     assert session_identity(lab.spark).first().run_database == "default"
 
 
+def test_temporary_views_are_no_delivery(lab):
+    lab.spark.range(1).createOrReplaceTempView("location")
+    lab.deliver("a'source with a long name", "CUSTOMER", ["IDENTITY", "C1"])
+    ingest(lab)
+    result = reload(lab)
+    assert result.loaded == {"customer": 1}
+    assert result.per_source == {"customer": {"a'source w": 1}}
+    lab.spark.catalog.dropTempView("location")
+
+
 def test_width_bounds(lab):
     lab.deliver("DKQ", "PHRASE", DELIVERY["PHRASE"])
     ingest(lab)
