@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections import defaultdict
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -15,7 +17,16 @@ from plantmart.contracts import Contract
 from plantmart.plans.ingest import Ingested, ingest_table
 from plantmart.plans.vault import replicate
 from plantmart.plans.warehouse import ReloadResult, Warehouse, require_success
-from plantmart.sources.landing import Zones, discover, extracts, manifest, read_configs, rejects, route
+from plantmart.sources.landing import (
+    REJECTS_SCHEMA,
+    Zones,
+    discover,
+    extracts,
+    manifest,
+    read_configs,
+    rejects,
+    route,
+)
 from plantmart.sources.raw import RawZone
 
 FILES_AT_ONCE = 10
@@ -70,13 +81,17 @@ def daily_run(
 ) -> RunResult:
     """One run. A failing extract stops it before the reload, a failing reload fails the run.
 
-    With nothing landed the reload still republishes what was ingested before.
+    With nothing landed the reload still republishes what was ingested before. What was not accepted
+    is kept, with the reason, under the run's name.
     """
     session.configure(spark)
     loaded_at = loaded_at or datetime.now(timezone.utc)
+    run_id = run_id or uuid.uuid4().hex
     zone = RawZone(spark, zones.processed, zones.database)
     zone.recover()
     landing = survey_landing(spark, zones)
+    rejected = f"{zones.warehouse}/rejects/{run_id}"
+    rejects(landing.routed).write.parquet(rejected)
     ingested: list[Ingested] = []
     if landing.entries:
         total = sum(entry.delivery.bytes for entry in landing.entries)
@@ -86,13 +101,11 @@ def daily_run(
             copied.result()
     warehouse = Warehouse(spark, zones.warehouse, contracts)
     result = require_success(warehouse.reload(zone, table, run_id, strict_keys))
-    return RunResult(rejects(landing.routed), ingested, result)
+    return RunResult(spark.read.schema(REJECTS_SCHEMA).parquet(rejected), ingested, result)
 
 
 def write_configs(spark: SparkSession, folder: str, settings: Mapping[str, Mapping[str, str]]) -> None:
     """One JSON object per extract stem."""
-    import json
-
     for stem, values in settings.items():
         storage.write_text(spark, f"{folder}/{stem}.json", json.dumps(values, indent=2))
 

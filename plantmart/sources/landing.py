@@ -63,6 +63,8 @@ MANIFEST_SCHEMA = T.StructType(
     ]
 )
 
+REJECTS_SCHEMA = "path string, file_name string, stem string, source_system string, reason string"
+
 NO_FOLDER = "no enclosing source folder"
 NO_CONFIG = "no configuration"
 NO_TARGET = "configuration without TargetTable"

@@ -30,6 +30,32 @@ def typed_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site.loaded("orders")
 
 
+@query(_audited("events", "event_id"))
+def exact_values_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Microseconds, doubles and quoted JSON survive the way through text."""
+    site = Site(spark, sf_dir)
+    site.deliver_tables("events")
+    return site.loaded("events")
+
+
+def _text_round_trip(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    site = Site(spark, sf_dir)
+    key = site.contracts[table].key[0]
+    site.deliver_by_plant(site.table(table), key, table, layout=Layout(multi_line=True), parts=4)
+    return site.loaded(table)
+
+
+@query(_audited("pages", "page_id"))
+def markup_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole web pages, full of quotes, delimiters and line breaks."""
+    return _text_round_trip(spark, sf_dir, "pages")
+
+
+@query(_audited("conversations", "conv_id"))
+def conversation_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_round_trip(spark, sf_dir, "conversations")
+
+
 @query(
     "SELECT CASE WHEN l_linenumber = 7 THEN NULL ELSE l_orderkey END AS l_orderkey, "
     + _LINEITEM_COLUMNS.removeprefix("l_orderkey, ")

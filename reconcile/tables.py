@@ -94,6 +94,24 @@ TEST_TABLES = catalogue(
         ),
         key=("doc_id",),
     ),
+    Contract(
+        "events",
+        (
+            number("event_id"),
+            moment("ts"),
+            number("user_id"),
+            text("event_type", 20),
+            real("value"),
+            text("props"),
+        ),
+        key=("event_id",),
+    ),
+    Contract("pages", (number("page_id"), text("url", 500), text("html")), key=("page_id",)),
+    Contract(
+        "conversations",
+        (number("conv_id"), number("turn"), text("role", 20), text("text")),
+        key=("conv_id", "turn"),
+    ),
 )
 
 

@@ -32,6 +32,7 @@ def test_two_plants_end_to_end(lab):
     lab.deliver_all("FOS", without=("MLP_VIEW",))
     lab.deliver("DKQ", "UNKNOWN", ["A", "1"])
     run = lab.run()
+    os.remove(f"{lab.zones.landed}/DKQ/UNKNOWN_prod_extract.csv.gz")
     assert [(r.stem, r.reason) for r in run.rejected.collect()] == [("UNKNOWN", "no configuration")]
     assert len(run.ingested) == 31 and all(r.malformed == 0 for r in run.ingested)
     assert run.reload.loaded["fournisseur"] == 4
