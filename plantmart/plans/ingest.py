@@ -115,5 +115,5 @@ def ingest_table(
             empty = scan.drop(MALFORMED, SOURCE).limit(0)
             empty.write.mode("overwrite").parquet(zone.leaf(table, result.source))
     columns = [c for c in merged.columns if c not in (SOURCE, LOADED_AT, MALFORMED)]
-    zone.register(table, columns)
+    zone.register(table, columns, sources)
     return results

@@ -64,23 +64,29 @@ class RawZone:
     def holds(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.qualified(table))
 
-    def columns(self, table: str) -> list[str]:
+    def columns(self, table: str, known_sources: Iterable[str] = ()) -> list[str]:
         """Text columns of the registered table, or of its files where it is not registered yet.
 
-        All files of one source come from one write, so one footer per source tells its columns.
+        All files of one source come from one write, so one footer per source tells its columns, and
+        none is needed for sources whose columns the caller knows.
         """
         if self.holds(table):
             found = self.spark.table(self.qualified(table)).columns
         else:
             found = []
-            for source in self.sources(table):
+            for source in sorted(set(self.sources(table)) - set(known_sources)):
                 leaf = self.spark.read.parquet(self.leaf(table, source))
                 found += [c for c in leaf.columns if c not in found]
         return [c for c in found if c not in (SOURCE, LOADED_AT)]
 
-    def register(self, table: str, columns: Iterable[str] = ()) -> None:
-        """Expose the table's files. A column that any source ever delivered stays in the schema."""
-        known = self.columns(table)
+    def register(
+        self, table: str, columns: Iterable[str] = (), written_sources: Iterable[str] = ()
+    ) -> None:
+        """Expose the table's files. A column that any source ever delivered stays in the schema.
+
+        ``columns`` are those of the sources just written.
+        """
+        known = self.columns(table, written_sources)
         new = [c for c in columns if c not in known]
         name = self.qualified(table)
         if not self.holds(table):

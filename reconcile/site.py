@@ -81,9 +81,9 @@ class Site:
             "Encoding": layout.encoding,
             "MultiLine": str(layout.multi_line).lower(),
         }
+        if parts > 1 and rows.rdd.getNumPartitions() < parts:
+            rows = rows.repartition(parts, F.monotonically_increasing_id())
         texts = rows.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns])
-        if parts > 1 and texts.rdd.getNumPartitions() < parts:
-            texts = texts.repartition(parts, F.monotonically_increasing_id())
         (
             texts.write.mode("overwrite")
             .option("header", layout.has_header)
