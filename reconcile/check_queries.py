@@ -18,7 +18,7 @@ from plantmart.operators.quality import (
     schema_differences,
 )
 from reconcile.registry import query
-from reconcile.site import Site, plant, plant_sql, tagged
+from reconcile.site import Site, plant_sql, tagged
 from reconcile.tables import TEST_TABLES, required
 
 
