@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plantmart.llm import quality_model, quality_rules, toxicity
+from plantmart.llm import bpe, quality_model, quality_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +36,20 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Every text encoded and decoded again: number of ids, digests of the ids and of the bytes."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    found = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return found.select(
+        "doc_id",
+        F.size("tokens").cast("bigint").alias("n_tokens"),
+        F.sha2(bpe.joined(F.col("tokens")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
