@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmart.llm import bpe, quality_model, quality_rules, toxicity
+from plantmart.llm import bpe, quality_model, quality_rules, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,10 @@ def token_digests(docs: DataFrame) -> DataFrame:
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
