@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 
 CHUNK_BYTES = 4 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
+LENGTH_FACTOR = 0xD6E8FEB86659FD93
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 # Space, tab, line feed, vertical tab, form feed and carriage return separate words.
@@ -104,7 +105,16 @@ def prefix_hash(values: np.ndarray) -> np.ndarray:
 def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the ranges [start, end) over the values behind `prefix`."""
     raw = (prefix[ends] - prefix[starts]) * powers(len(prefix) - 1, "down")[starts]
-    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(LENGTH_FACTOR))
+
+
+def window_hashes(prefix: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all windows of `size` values, as range_hash would give them."""
+    count = len(prefix) - size
+    if count <= 0:
+        return np.empty(0, np.uint64)
+    raw = (prefix[size:] - prefix[:count]) * powers(len(prefix) - 1, "down")[:count]
+    return mix(raw + np.uint64(size * LENGTH_FACTOR % (1 << 64)))
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -132,12 +142,38 @@ def window_minimum(hashes: np.ndarray, width: int) -> np.ndarray:
     return (low - (least & low)).astype(np.int64)
 
 
+def last_run(keys: list[np.ndarray]) -> int:
+    """Where the last run of equal keys begins."""
+    n = len(keys[0])
+    if not n:
+        return 0
+    differs = np.zeros(n, dtype=bool)
+    for key in keys:
+        differs |= key != key[-1]
+    return int(np.flatnonzero(differs)[-1]) + 1 if differs.any() else 0
+
+
 def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     """Which of n positions lie in any of the ranges [start, end)."""
     change = np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
     return np.cumsum(change[: n + 1])[:n] > 0
 
 
+def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions start, start + 1, ... of each range, one range after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(lengths.sum()) + np.repeat(starts - before, lengths)
+
+
+def binaries(data: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A column of byte strings (or of text) cut from `data` at the offsets."""
+    large = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(offsets) - 1,
+        [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))],
+    )
+    return large.cast(kind)
+
+
 def batch_of(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     """A record batch with the given columns, cast to the schema."""
     arrays = []

@@ -173,12 +173,6 @@ class _Numbered(dict):
         return number
 
 
-def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Positions start, start + 1, ... of each range, one range after the other."""
-    before = np.cumsum(lengths) - lengths
-    return np.arange(lengths.sum()) + np.repeat(starts - before, lengths)
-
-
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
     block, size = [], 0
     for chunk in arrays.chunks(batches):
@@ -214,7 +208,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
                 mine = found[at : at + chunk.num_rows]
                 at += chunk.num_rows
                 words = np.concatenate(mine)
-                values = tokens[gathered(first[words], lengths[words])]
+                values = tokens[arrays.gathered(first[words], lengths[words])]
                 before = np.concatenate(([0], np.cumsum(lengths[words])))
                 ends = before[np.cumsum([0, *map(len, mine)])]
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
@@ -239,14 +233,12 @@ def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
                 raise ValueError("an id is not in the vocabulary")
             sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             lengths = vocabulary.lengths[tokens]
-            data = vocabulary.bytes[gathered(vocabulary.starts[tokens], lengths)]
+            data = vocabulary.bytes[arrays.gathered(vocabulary.starts[tokens], lengths)]
             before = np.concatenate(([0], np.cumsum(lengths)))
-            offsets = before[np.concatenate(([0], np.cumsum(sizes)))].astype(np.int64)
-            texts = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(lists), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
-            )
+            offsets = before[np.concatenate(([0], np.cumsum(sizes)))]
+            texts = arrays.binaries(data, offsets, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), lists, texts.cast(pa.binary())], ["doc_id", "tokens", "decoded"]
+                [batch.column("doc_id"), lists, texts], ["doc_id", "tokens", "decoded"]
             )
 
     kept = rows.select("doc_id", "tokens")

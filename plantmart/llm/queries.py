@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmart.llm import bpe, quality_model, quality_rules, simhash, toxicity
+from plantmart.llm import bpe, prefix_free, quality_model, quality_rules, simhash, substring, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op6_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = prefix_free.deduplicated(table(spark, sf_dir, "documents"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
+@query
+def op9_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

@@ -129,7 +129,7 @@ def _links(distance: int):
             columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if rest is not None:
                 columns = [np.concatenate(pair) for pair in zip(rest, columns)]
-            keep = _last_run(columns[:-1])
+            keep = arrays.last_run(columns[:-1])
             rest = [c[keep:] for c in columns]
             yield _linked_runs([c[:keep] for c in columns], distance)
         if rest is not None:
@@ -138,17 +138,6 @@ def _links(distance: int):
     return linked
 
 
-def _last_run(keys: list[np.ndarray]) -> int:
-    """Where the last run of equal keys begins."""
-    n = len(keys[0])
-    if not n:
-        return 0
-    differs = np.zeros(n, dtype=bool)
-    for key in keys:
-        differs |= key != key[-1]
-    return int(np.flatnonzero(differs)[-1]) + 1 if differs.any() else 0
-
-
 def _linked_runs(columns: list[np.ndarray], distance: int) -> pa.RecordBatch:
     prints = np.ascontiguousarray(columns[-1]).view(np.uint64)
     n = len(prints)
