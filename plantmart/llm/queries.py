@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmart.llm import bpe, prefix_free, quality_model, quality_rules, simhash, substring, toxicity
+from plantmart.llm import (
+    bpe,
+    line_dedup,
+    mixing,
+    nearest,
+    prefix_free,
+    quality_model,
+    quality_rules,
+    simhash,
+    substring,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +34,59 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+ORACLES["op4_line_dedup"] = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+every_line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS nr
+  FROM texts
+),
+lines AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY nr) AS i
+  FROM every_line WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+),
+pairs AS (
+  SELECT doc_id, i, line, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS second FROM lines
+),
+ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY line, second ORDER BY doc_id, i) AS copy
+  FROM pairs WHERE second IS NOT NULL
+),
+dead AS (
+  SELECT doc_id, i FROM ranked WHERE copy > 1
+  UNION SELECT doc_id, i + 1 FROM ranked WHERE copy > 1
+),
+marked AS (
+  SELECT e.doc_id, e.nr, e.line, l.i, d.i IS NOT NULL AS dead,
+         d.i IS NOT NULL AND lag(d.i) OVER (PARTITION BY e.doc_id, l.i IS NULL ORDER BY l.i) IS NULL AS starts
+  FROM every_line e LEFT JOIN lines l USING (doc_id, nr) LEFT JOIN dead d ON d.doc_id = e.doc_id AND d.i = l.i
+)
+SELECT doc_id, count(i) AS n_lines, CAST(count(*) FILTER (dead) AS BIGINT) AS n_deleted,
+       CAST(count(*) FILTER (starts) AS BIGINT) AS n_runs,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY nr) FILTER (NOT dead), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLES["op8_nearest"] = """
+WITH usable AS (
+  SELECT vec_id, min(CAST(embedding AS DOUBLE[])) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
+  GROUP BY vec_id
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, 
+         sqrt(list_sum([(q.v[k] - c.v[k]) * (q.v[k] - c.v[k]) FOR k IN range(1, len(q.v) + 1)])) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
@@ -73,3 +137,21 @@ def op6_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.deduplicated(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = mixing.places(docs, mixing.tempered(docs))
+    return found.select("doc_id", "source", "block", "slot", "place")
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_deleted", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
