@@ -188,21 +188,21 @@ def links(prints: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> Da
     return light.unionByName(heavy)
 
 
-def _roots(distinct: DataFrame, distance: int) -> DataFrame:
+def _roots(distinct: DataFrame, distance: int, block: int = BLOCK) -> DataFrame:
     """The rows, which have one per fingerprint, with the smallest fingerprint of the component as `root`."""
-    found = components(links(distinct.select("fingerprint"), distance)).withColumnRenamed("u", "fingerprint")
+    found = components(links(distinct.select("fingerprint"), distance, block)).withColumnRenamed("u", "fingerprint")
     joined = distinct.join(found, "fingerprint", "left")
     return joined.withColumn("root", F.coalesce("v", "fingerprint")).drop("v")
 
 
-def groups(docs: DataFrame, size: int = 4, distance: int = DISTANCE) -> DataFrame:
+def groups(docs: DataFrame, size: int = 4, distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
     """doc_id, fingerprint (bigint) and component_id of each row; `docs` needs doc_id and text.
 
     component_id is the smallest doc_id that links lead to, the row's own included.
     """
     marked = stored(fingerprints(docs, size).select("doc_id", "fingerprint"), "simhash")
     distinct = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    placed = stored(_roots(distinct, distance), "simhash-roots")
+    placed = stored(_roots(distinct, distance, block), "simhash-roots")
     ids = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     of_print = placed.join(ids, "root").select("fingerprint", "component_id")
     return marked.join(of_print, "fingerprint").select("doc_id", "fingerprint", "component_id")

@@ -1,0 +1,179 @@
+"""Plain versions of the operators, one text after the other, to compare with."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+from math import log2, sqrt
+
+import public_tokenizers
+import tiktoken
+import xxhash
+
+from plantmart.llm import bpe
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+RANKS = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+LIBRARY = tiktoken.Encoding(
+    "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={}
+)
+
+
+def sha(data: str | bytes) -> str:
+    return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
+
+
+def words(text: str | None) -> list[str]:
+    return WORD.findall(text or "")
+
+
+def kept_windows(texts: list, size: int, every: bool) -> list[list[bool]]:
+    """Per text (a sequence of symbols, in document order): which symbols a repeated window covers."""
+    places = defaultdict(list)
+    for t, text in enumerate(texts):
+        for start in range(len(text) - size + 1):
+            places[bytes(text[start : start + size]) if isinstance(text, bytes) else tuple(text[start : start + size])].append((t, start))
+    gone = [[False] * len(text) for text in texts]
+    for found in places.values():
+        for t, start in found if every and len(found) > 1 else found[1:]:
+            gone[t][start : start + size] = [True] * size
+    return gone
+
+
+def substring(text_list: list[str | None], size: int = 20) -> list[tuple[int, int, str]]:
+    texts = [words(t) for t in text_list]
+    return [
+        (len(t), sum(g), sha(" ".join(w for w, x in zip(t, g) if not x)))
+        for t, g in zip(texts, kept_windows(texts, size, every=False))
+    ]
+
+
+def byte_strings(text_list: list[str | None], size: int = 400) -> list[tuple[int, int, int, str]]:
+    texts = [(t or "").encode() for t in text_list]
+    return [
+        (
+            len(t), sum(g), sum(a and not b for a, b in zip(g, [False, *g])),
+            sha(bytes(b for b, x in zip(t, g) if not x)),
+        )
+        for t, g in zip(texts, kept_windows(texts, size, every=True))
+    ]
+
+
+def fingerprint(text: str | None, size: int = 4) -> int:
+    found = (text or "").encode().lower().split()
+    shingles = [b" ".join(found[i : i + size]) for i in range(len(found) - size + 1)] or [b" ".join(found)]
+    if not found:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def smallest_reachable(prints: list[int], distance: int = 4) -> list[int]:
+    """For each fingerprint the index of the first one in its component."""
+    label = list(range(len(prints)))
+    near = [[j for j, b in enumerate(prints) if (a ^ b).bit_count() <= distance] for a in prints]
+    while True:
+        new = [min(label[j] for j in js) for js in near]
+        if new == label:
+            return label
+        label = new
+
+
+def lines_without_copies(text_list: list[str | None], size: int = 2) -> list[tuple[str, int, int, int]]:
+    """Text, lines with a word, deleted lines, runs of these."""
+    lines = [(t or "").split("\n") for t in text_list]
+    filled = [[k for k, line in enumerate(ls) if WORD.search(line)] for ls in lines]
+    gone = kept_windows([[ls[k] for k in f] for ls, f in zip(lines, filled)], size, every=False)
+    out = []
+    for ls, f, g in zip(lines, filled, gone):
+        dead = {k for k, x in zip(f, g) if x}
+        runs = sum(a and not b for a, b in zip(g, [False, *g]))
+        out.append(("\n".join(line for k, line in enumerate(ls) if k not in dead), len(f), len(dead), runs))
+    return out
+
+
+def tokens(text: str | None) -> list[int]:
+    return LIBRARY.encode_ordinary(text or "")
+
+
+def base_counts(text: str | None) -> tuple[int, int, int, int, int, bool]:
+    text = text or ""
+    found = words(text)
+    seen: set[str] = set()
+    repeated_lines = 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            repeated_lines += line in seen
+            seen.add(line)
+    windows = defaultdict(list)
+    for i in range(len(found) - 7):
+        windows[tuple(found[i : i + 8])].append(i)
+    inside = {i + k for at in windows.values() if len(at) > 1 for i in at for k in range(8)}
+    failed = len(found) < 20 or 100 * len(inside) > 30 * len(found)
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return len(found), sum(map(len, found)), symbols, repeated_lines, len(inside), failed
+
+
+def _classes(text: str) -> Counter:
+    counts: Counter = Counter()
+    for b in text.encode():
+        if b in b" \t\n\v\f\r":
+            counts["space"] += 1
+        elif b >= 0x80:
+            counts["wide"] += 1
+        elif chr(b).islower():
+            counts["lower"] += 1
+        elif chr(b).isupper():
+            counts["upper"] += 1
+        elif chr(b).isdigit():
+            counts["digit"] += 1
+        elif b in b".,;:?'\"-()":
+            counts["stop"] += 1
+        elif b in b"#*$%&|<>":
+            counts["symbol"] += 1
+        else:
+            counts["other"] += 1
+    return counts
+
+
+def divergence(p: Counter, q: Counter) -> float:
+    """Jensen-Shannon distance, base 2; an empty histogram has no mass at all."""
+    n, m = max(p.total(), 1), max(q.total(), 1)
+    total = 0.0
+    for key in p | q:
+        a, b = p[key] / n, q[key] / m
+        middle = (a + b) / 2
+        total += (a * log2(a / middle) if a else 0) + (b * log2(b / middle) if b else 0)
+    return sqrt(min(max(total / 2, 0), 1))
+
+
+def quality_kept(rows: list[tuple[str | None, str | None]], rules) -> list[bool]:
+    """Verdicts on (text, lang), by references over all rows of a language."""
+    by_class, by_word = defaultdict(Counter), defaultdict(Counter)
+    for text, lang in rows:
+        by_class[lang] += _classes(text or "")
+        by_word[lang] += Counter(words(text))
+    common = {
+        lang: {w for w, n in counts.items() if n >= rules.common_share * counts.total()}
+        for lang, counts in by_word.items()
+    }
+    verdicts = []
+    for text, lang in rows:
+        text = text or ""
+        fold = lambda ws, lang=lang: Counter({w if w in common[lang] else None: 0 for w in ws})
+        mine, reference = fold(words(text)), fold(by_word[lang])
+        for w in words(text):
+            mine[w if w in common[lang] else None] += 1
+        for w, n in by_word[lang].items():
+            reference[w if w in common[lang] else None] += n
+        n_words, *_, failed = base_counts(text)
+        chance = 1 / sqrt(max(n_words, 1))
+        far = n_words >= rules.least_words_for_classes and divergence(
+            _classes(text), by_class[lang]
+        ) > rules.most_class_distance + rules.class_slack * chance
+        far |= n_words >= rules.least_words_for_words and divergence(
+            mine, reference
+        ) > rules.most_word_distance + rules.word_slack * chance
+        verdicts.append(not (failed or far))
+    return verdicts
