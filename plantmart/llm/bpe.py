@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from plantmart.llm import arrays
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 NONE = np.int32(2**31 - 1)
 
 
@@ -185,64 +185,77 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]
         yield block
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+def _encoded_block(block: list[pa.RecordBatch], vocabulary: Vocabulary, split: regex.Pattern):
+    """Token lists of the texts of each chunk of a block: values, and where each text's tokens start."""
+    numbers = _Numbered()
+    found: list[list[np.ndarray]] = []
+    for chunk in block:
+        found.append([])
+        for text in chunk.column("text"):
+            words = split.findall(text.as_buffer().to_pybytes().decode("utf-8", "replace"))
+            found[-1].append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+    words = [word.encode() for word in numbers]
+    del numbers
+    tokens, first = replay(words, vocabulary)
+    del words
+    lengths = np.diff(first)
+    for mine in found:
+        at = np.concatenate(mine)
+        before = np.concatenate(([0], np.cumsum(lengths[at])))
+        yield tokens[arrays.gathered(first[at], lengths[at])], before[np.cumsum([0, *map(len, mine)])]
+
+
+def _decoded(vocabulary: Vocabulary, tokens: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The bytes of each list of tokens."""
+    tokens = tokens.astype(np.int64)
+    if len(tokens) and not (
+        0 <= tokens.min() and tokens.max() < len(vocabulary.known) and vocabulary.known[tokens].all()
+    ):
+        raise ValueError("an id is not in the vocabulary")
+    lengths = vocabulary.lengths[tokens]
+    data = vocabulary.bytes[arrays.gathered(vocabulary.starts[tokens], lengths)]
+    return arrays.binaries(data, np.concatenate(([0], np.cumsum(lengths)))[offsets], pa.binary())
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool = False) -> DataFrame:
     """doc_id and tokens (an array of int) of every row of `docs`, which needs doc_id and text.
 
-    Each match of `pattern` is encoded separately; there are no special tokens.
+    Each match of `pattern` is encoded separately; there are no special tokens. With `decoded`, the tokens
+    are decoded again in the same pass, into the column `decoded`.
     """
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, split = Vocabulary(shared.value[0]), regex.compile(shared.value[1])
         for block in _blocks(batches):
-            numbers = _Numbered()
-            found = []
-            for chunk in block:
-                for text in chunk.column("text").to_pylist():
-                    words = split.findall(text.decode("utf-8", "replace"))
-                    found.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-            tokens, first = replay([word.encode() for word in numbers], vocabulary)
-            lengths = np.diff(first)
-            at = 0
-            for chunk in block:
-                mine = found[at : at + chunk.num_rows]
-                at += chunk.num_rows
-                words = np.concatenate(mine)
-                values = tokens[arrays.gathered(first[words], lengths[words])]
-                before = np.concatenate(([0], np.cumsum(lengths[words])))
-                ends = before[np.cumsum([0, *map(len, mine)])]
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
-                yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), lists], ["doc_id", "tokens"])
+            for chunk, (tokens, offsets) in zip(block, _encoded_block(block, vocabulary, split)):
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tokens))
+                columns = {"doc_id": chunk.column("doc_id"), "tokens": lists}
+                if decoded:
+                    columns["decoded"] = _decoded(vocabulary, tokens, offsets)
+                yield pa.RecordBatch.from_pydict(columns)
 
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return texts.mapInArrow(encoded, "doc_id bigint, tokens array<int>")
+    schema = "doc_id bigint, tokens array<int>" + (", decoded binary" if decoded else "")
+    return texts.mapInArrow(encoded, schema)
 
 
 def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """The rows of (doc_id, tokens) with the bytes that the tokens stand for, as `decoded`."""
     shared = rows.sparkSession.sparkContext.broadcast(ranks)
 
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(shared.value)
         for batch in batches:
             lists = batch.column("tokens")
-            tokens = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            if len(tokens) and not (
-                0 <= tokens.min() and tokens.max() < len(vocabulary.known) and vocabulary.known[tokens].all()
-            ):
-                raise ValueError("an id is not in the vocabulary")
             sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            lengths = vocabulary.lengths[tokens]
-            data = vocabulary.bytes[arrays.gathered(vocabulary.starts[tokens], lengths)]
-            before = np.concatenate(([0], np.cumsum(lengths)))
-            offsets = before[np.concatenate(([0], np.cumsum(sizes)))]
-            texts = arrays.binaries(data, offsets, pa.binary())
+            tokens = lists.flatten().to_numpy(zero_copy_only=False)
+            found = _decoded(vocabulary, tokens, np.concatenate(([0], np.cumsum(sizes))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), lists, texts], ["doc_id", "tokens", "decoded"]
+                [batch.column("doc_id"), lists, found], ["doc_id", "tokens", "decoded"]
             )
 
-    kept = rows.select("doc_id", "tokens")
-    return kept.mapInArrow(decoded, "doc_id bigint, tokens array<int>, decoded binary")
+    return rows.select("doc_id", "tokens").mapInArrow(texts, "doc_id bigint, tokens array<int>, decoded binary")
 
 
 def joined(tokens: Column) -> Column:

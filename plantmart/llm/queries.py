@@ -105,7 +105,7 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_digests(docs: DataFrame) -> DataFrame:
     """Every text encoded and decoded again: number of ids, digests of the ids and of the bytes."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    found = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    found = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
     return found.select(
         "doc_id",
         F.size("tokens").cast("bigint").alias("n_tokens"),

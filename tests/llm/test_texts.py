@@ -2,6 +2,7 @@
 
 import random
 
+import public_tokenizers
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -154,6 +155,12 @@ def test_tokens(spark, texts):
     assert found == expected
 
 
+def test_decoding_alone(spark, texts):
+    docs = rows_of(spark, texts)
+    found = bpe.decode(bpe.encode(docs, plain.RANKS, public_tokenizers.PATTERN), plain.RANKS)
+    assert [(list(t), bytes(d)) for t, d in by_id(found)] == [(plain.tokens(t), (t or "").encode()) for t in texts]
+
+
 def test_unknown_token(spark):
     rows = spark.createDataFrame([(1, [10**6])], "doc_id bigint, tokens array<int>")
     with pytest.raises(Exception, match="not in the vocabulary"):
