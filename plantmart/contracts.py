@@ -50,7 +50,7 @@ class Column:
 
 @dataclass(frozen=True)
 class Reference:
-    """A foreign key. ``optional`` marks lookups that merely enrich."""
+    """A foreign key."""
 
     columns: tuple[str, ...]
     parent: str

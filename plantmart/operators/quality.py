@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from plantmart.contracts import LOADED_AT, PLANTS, SOURCE, Contract, Reference
 from plantmart.functions.casts import malformed, overlong
-from plantmart.operators.joins import orphan_keys
+from plantmart.operators.joins import BROADCAST_BYTES, BROADCAST_TOTAL, check_key_types, parent_keys
 from plantmart.operators.merge import union_all
 
 REQUIRED = "not null"
@@ -83,9 +83,8 @@ def reference_pairs(reference: Reference, per_source: bool = True) -> list[tuple
 
 def check_keys(typed: DataFrame, contract: Contract) -> DataFrame:
     """Surplus rows per source, as one violation count for the whole key."""
-    surplus = duplicate_keys(typed, contract.key).groupBy(SOURCE).agg(
-        F.sum(F.col("copies") - 1).alias("violations")
-    )
+    keys = typed.groupBy(*contract.key, SOURCE).agg(F.count("*").alias("copies"))
+    surplus = keys.groupBy(SOURCE).agg(F.sum(F.col("copies") - 1).alias("violations"))
     return surplus.select(
         F.lit(contract.name).alias("table_name"),
         F.lit(UNIQUE).alias("rule"),
@@ -95,48 +94,105 @@ def check_keys(typed: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def reference_name(reference: Reference) -> str:
+    return ", ".join(reference.columns) + " -> " + reference.parent
+
+
+def _with_parent(child: DataFrame, parent: DataFrame, reference: Reference, per_source: bool, flag: str, small: bool):
+    """The rows with a flag that is set where the parent holds their key; no row is added or lost."""
+    pairs = reference_pairs(reference, per_source)
+    check_key_types(child, parent, pairs)
+    names = {f"_parent_{i}": f"{flag}_{i}" for i in range(len(pairs))}
+    parents = parent_keys(parent, pairs).withColumnsRenamed(names).withColumn(flag, F.lit(True))
+    parents = F.broadcast(parents) if small else parents
+    same = [F.col(lc) == F.col(name) for (lc, _), name in zip(pairs, names.values())]
+    return child.join(parents, same, "left").drop(*names.values())
+
+
+def _is_orphan(reference: Reference, flag: Column, per_source: bool = True) -> Column:
+    """True for a complete key that the parent lacks; a key with a NULL part refers to nothing."""
+    present = F.lit(True)
+    for column in (*reference.columns, *((SOURCE,) if per_source else ())):
+        present = present & F.col(column).isNotNull()
+    return present & flag.isNull()
+
+
 def check_reference(
     child: DataFrame, parent: DataFrame, table: str, reference: Reference, per_source: bool = True
 ) -> DataFrame:
-    """Child rows per source that refer to a missing parent."""
-    pairs = reference_pairs(reference, per_source)
-    # The source is counted along even where it takes no part in the key.
-    keyed = child.select(*dict.fromkeys([*reference.columns, SOURCE]))
-    if per_source:
-        orphans = orphan_keys(keyed, parent, pairs)
-    else:
-        grouped = keyed.groupBy(*keyed.columns).agg(F.count("*").alias("child_rows"))
-        orphans = grouped.join(
-            orphan_keys(keyed, parent, pairs).drop("child_rows"), list(reference.columns), "left_semi"
-        )
+    """Child rows per source that refer to a missing parent; for a parent of any size.
+
+    Each key value of the child is joined once, with its row count and its source, to each key value of
+    the parent, so neither side has a hot key.
+    """
+    columns = list(dict.fromkeys([*reference.columns, SOURCE]))
+    keyed = child.groupBy(*columns).agg(F.count("*").alias("child_rows"))
+    joined = _with_parent(keyed, parent, reference, per_source, "_held", small=False)
+    orphan = _is_orphan(reference, F.col("_held"), per_source)
     return (
-        orphans.groupBy(SOURCE)
-        .agg(F.sum("child_rows").alias("violations"))
+        joined.groupBy(SOURCE)
+        .agg(F.sum(F.when(orphan, F.col("child_rows")).otherwise(0)).alias("violations"))
         .select(
             F.lit(table).alias("table_name"),
             F.lit(REFERENCE).alias("rule"),
-            F.lit(", ".join(reference.columns) + " -> " + reference.parent).alias("column_name"),
+            F.lit(reference_name(reference)).alias("column_name"),
             SOURCE,
             "violations",
         )
     )
 
 
+def check_table(
+    rows: DataFrame,
+    contract: Contract,
+    parents: Mapping[Reference, DataFrame | None],
+    plants: Sequence[str] = PLANTS,
+) -> DataFrame:
+    """Row rules, and references to parents that are small or missing, in one pass over the rows.
+
+    A reference to a parent that does not exist (None) is broken by every row with a complete key.
+    """
+    joined, rules = rows, typed_rules(contract, plants)
+    for i, (reference, parent) in enumerate(parents.items()):
+        flag = f"_held{i}"
+        if parent is None:
+            joined = joined.withColumn(flag, F.lit(None).cast("boolean"))
+        else:
+            joined = _with_parent(joined, parent, reference, True, flag, small=True)
+        rules.append((REFERENCE, reference_name(reference), _is_orphan(reference, F.col(flag))))
+    return count_violations(joined, contract.name, rules)
+
+
 def check_tables(
     tables: Mapping[str, DataFrame],
     contracts: Mapping[str, Contract],
     plants: Sequence[str] = PLANTS,
+    size_of: Callable[[str, Sequence[str]], int | None] = lambda table, columns: None,
 ) -> DataFrame:
-    """Every row, key and reference check of the given typed tables as one DataFrame."""
+    """Every row, key and reference check of the given typed tables as one DataFrame.
+
+    ``size_of`` gives a known upper bound of the size of some columns of a table. Parents whose keys
+    are within the limits for broadcasting are checked together with the row rules; each other one
+    takes a pass of its own. Parents that were never published are missing, not left out.
+    """
     found = []
     for name, rows in tables.items():
         contract = contracts[name]
-        found.append(check_rows(rows, contract, plants))
+        together: dict[Reference, DataFrame | None] = {}
+        room = BROADCAST_BYTES * BROADCAST_TOTAL
+        for reference in contract.references:
+            parent = tables.get(reference.parent)
+            size = None if parent is None else size_of(reference.parent, [*reference.parent_columns, SOURCE])
+            if parent is None:
+                together[reference] = None
+            elif size is not None and size <= min(BROADCAST_BYTES, room):
+                together[reference] = parent
+                room -= size
+            else:
+                found.append(check_reference(rows, parent, name, reference))
+        found.append(check_table(rows, contract, together, plants))
         if contract.key:
             found.append(check_keys(rows, contract))
-        for reference in contract.references:
-            if reference.parent in tables:
-                found.append(check_reference(rows, tables[reference.parent], name, reference))
     return union_all(found)
 
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from plantmart import session, storage
 from plantmart.contracts import Contract
@@ -28,16 +29,35 @@ from plantmart.sources.landing import (
     route,
 )
 from plantmart.sources.raw import RawZone
+from plantmart.sources.stores import arrow_uri
 
 FILES_AT_ONCE = 10
 
 
+REJECTED = "rejected"
+
+
 @dataclass
 class RunResult:
     rejected: DataFrame
     ingested: list[Ingested]
     reload: ReloadResult
 
+    def report(self) -> DataFrame:
+        """The reload's report, and a row for each extract that was not accepted, with the reason."""
+        loaded = self.reload.report(self.rejected.sparkSession)
+        who = loaded.select("run_id", "status_code", "run_by", "run_database").limit(1)
+        named = F.concat_ws("/", "source_system", "file_name")
+        refused = self.rejected.select(
+            F.lit(None).cast("string").alias("table_name"),
+            F.lit(REJECTED).alias("status"),
+            F.lit(None).cast("bigint").alias("row_count"),
+            F.concat_ws(": ", named, "reason").alias("message"),
+        )
+        run = who.first()
+        audit = {c: F.lit(run[c]).cast(loaded.schema[c].dataType) for c in who.columns}
+        return loaded.unionByName(refused.withColumns(audit))
+
 
 @dataclass
 class Landing:
@@ -81,10 +101,14 @@ def daily_run(
 ) -> RunResult:
     """One run. A failing extract stops it before the reload, a failing reload fails the run.
 
+    A landed zone in a store whose files cannot be replicated is refused before anything is read.
+
     With nothing landed the reload still republishes what was ingested before. What was not accepted
     is kept, with the reason, under the run's name.
     """
     session.configure(spark)
+    for place in (zones.landed, zones.replicated):
+        arrow_uri(storage.qualified(spark, place))
     loaded_at = loaded_at or datetime.now(timezone.utc)
     run_id = run_id or uuid.uuid4().hex
     zone = RawZone(spark, zones.processed, zones.database)
@@ -99,7 +123,7 @@ def daily_run(
             copied = pool.submit(replicate, landing.files, landing.accepted, zones.replicated, total)
             ingested = ingest_landing(zone, landing, contracts, loaded_at)
             copied.result()
-    warehouse = Warehouse(spark, zones.warehouse, contracts)
+    warehouse = Warehouse(spark, zones.warehouse, contracts, zones.warehouse_database)
     result = require_success(warehouse.reload(zone, table, run_id, strict_keys))
     return RunResult(spark.read.schema(REJECTS_SCHEMA).parquet(rejected), ingested, result)
 
@@ -114,6 +138,7 @@ def standard_settings(
     contracts: Mapping[str, Contract], encoding: str = "windows-1252"
 ) -> dict[str, dict[str, str]]:
     """Settings of a standard delivery: every table under its upper-case name, comma separated."""
+    # The names of the settings, as sources/landing.py reads them.
     return {
         name.upper(): {
             "TargetTable": name,

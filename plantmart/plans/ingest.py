@@ -21,6 +21,10 @@ TARGET_BYTES = 256 << 20
 GZIP_GROWTH = 6
 
 
+class NoRowCount(Exception):
+    """The number of rows that were written is not known."""
+
+
 @dataclass(frozen=True)
 class Ingested:
     table: str
@@ -74,6 +78,12 @@ def scan_entry(
     )
 
 
+def _prove_empty(table: str, source: str, scan: DataFrame, rows: int | None) -> None:
+    """An extract is empty if it has no row, not because nobody counted its rows."""
+    if not scan.isEmpty():
+        raise NoRowCount(f"{table}, {source}: {rows} rows counted, but the extract has rows")
+
+
 def ingest_table(
     zone: RawZone,
     table: str,
@@ -105,15 +115,14 @@ def ingest_table(
         .parquet(zone.path(table))
     )
     seen = counts.get
-    results = [
-        Ingested(table, s, seen.get(f"rows_{i}") or 0, seen.get(f"malformed_{i}") or 0)
-        for i, s in enumerate(sources)
-    ]
-    for result, scan in zip(results, scans):
-        if result.rows == 0:
+    results = []
+    for i, (source, scan) in enumerate(zip(sources, scans)):
+        rows = seen.get(f"rows_{i}")
+        if not rows:
+            _prove_empty(table, source, scan, rows)
             # A dynamic overwrite without rows leaves the old partition; replace its folder instead.
-            empty = scan.drop(MALFORMED, SOURCE).limit(0)
-            empty.write.mode("overwrite").parquet(zone.leaf(table, result.source))
+            scan.drop(MALFORMED, SOURCE).limit(0).write.mode("overwrite").parquet(zone.leaf(table, source))
+        results.append(Ingested(table, source, rows or 0, seen.get(f"malformed_{i}") or 0))
     columns = [c for c in merged.columns if c not in (SOURCE, LOADED_AT, MALFORMED)]
     zone.register(table, columns, sources)
     return results

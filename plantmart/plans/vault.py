@@ -6,10 +6,12 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantmart.functions import names
+from plantmart.session import new_folder
+from plantmart.sources.stores import ARROW_SCHEMES, arrow_uri
 
 CHUNK_BYTES = 8 << 20
 TASK_BYTES = 256 << 20
@@ -32,7 +34,7 @@ def _chunk_reader():
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                store, path = fs.FileSystem.from_uri(row["path"][0].as_py())
+                store, path = fs.FileSystem.from_uri(row["uri"][0].as_py())
                 with store.open_input_file(path) as handle:
                     content = handle.read_at(
                         row["chunk_bytes"][0].as_py(), row["chunk_start"][0].as_py()
@@ -43,11 +45,26 @@ def _chunk_reader():
     return read_chunks
 
 
+def _uri(path: Column) -> Column:
+    """arrow_uri() as a column expression, for listed paths of known stores."""
+    found = F.when(path.startswith("/"), path).when(
+        path.startswith("file:"), F.regexp_replace(path, "^file:/+", "/")
+    )
+    escaped = F.regexp_replace(F.regexp_replace(F.url_encode(path), r"\+", "%20"), "%2F", "/")
+    escaped = F.regexp_replace(F.regexp_replace(escaped, "%3A", ":"), "%40", "@")
+    for scheme, arrow in ARROW_SCHEMES.items():
+        if scheme != "file":
+            found = found.when(path.startswith(f"{scheme}:"), F.concat(F.lit(arrow), F.substr(escaped, F.lit(len(scheme) + 1))))
+    return found.otherwise(F.raise_error(F.concat(F.lit("unknown store: "), path)))
+
+
 def replica_chunks(
     files: DataFrame, accepted: DataFrame, chunk_bytes: int = CHUNK_BYTES, tasks: int = 1
 ) -> DataFrame:
     """Chunks of every landed file that belongs to an accepted extract.
 
+    The manifest names the store; a store that cannot be read in ranges is refused here.
+
     Files are cut into ranges first, and the ranges are what Spark distributes, so a huge file is
     read by many tasks and never held whole anywhere.
     """
@@ -61,13 +78,14 @@ def replica_chunks(
         F.col("modificationTime").alias("modified"),
         F.col("length").alias("part_bytes"),
         "path",
+        _uri(F.col("path")).alias("uri"),
         F.explode(
             F.sequence(zero, F.greatest(F.col("length") - 1, zero), F.lit(chunk_bytes).cast("bigint"))
         ).alias("chunk_start"),
     ).withColumn("chunk_bytes", F.least(F.lit(chunk_bytes), F.col("part_bytes") - F.col("chunk_start")))
-    # Neighbouring chunks stay together, so a task writes a few large files instead of many small ones.
-    block = F.floor(F.col("chunk_start") / F.lit(TASK_BYTES))
-    spread = ranges.repartition(tasks, F.col("path"), block)
+    # Ranges of the order deal chunks evenly, and neighbours stay together, so a task writes a few
+    # large files instead of many small ones.
+    spread = ranges.repartitionByRange(tasks, "path", "chunk_start")
     return spread.mapInArrow(_chunk_reader(), _SCHEMA).withColumn("sha256", F.sha2("content", 256))
 
 
@@ -88,3 +106,62 @@ def replicate(
         .partitionBy("source", "file")
         .parquet(target)
     )
+
+
+def _file_writer(root: str):
+    """A local function travels to the executors by value, so they need not have this package."""
+
+    def write_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Write the chunks of each file in their order, checked one by one; one chunk is in memory."""
+        import hashlib
+
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        current, out, written, whole, expected = None, None, 0, None, 0
+
+        def close() -> pa.RecordBatch:
+            out.close()
+            if written != expected:
+                raise ValueError(f"{current}: {written} of {expected} bytes are in the vault")
+            row = [*current, written, whole.hexdigest()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v]) for v in row], ["source", "file", "part", "bytes", "sha256"]
+            )
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                key = (row["source"], row["file"], row["part"])
+                if key != current:
+                    if current is not None:
+                        yield close()
+                    path = "/".join([base.rstrip("/"), *(x for x in key if x)])
+                    store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                    current, out, written, whole = key, store.open_output_stream(path, compression=None), 0, hashlib.sha256()
+                    expected = row["part_bytes"]
+                if row["chunk_start"] != written or hashlib.sha256(row["content"]).hexdigest() != row["sha256"]:
+                    raise ValueError(f"{key}: the chunk at {row['chunk_start']} is missing, repeated or damaged")
+                out.write(row["content"])
+                whole.update(row["content"])
+                written += len(row["content"])
+        if current is not None:
+            yield close()
+
+    return write_files
+
+
+def restore(spark: SparkSession, vault: str, target: str) -> DataFrame:
+    """Write all vaulted files below ``target``, as {source}/{file} or {source}/{file}/{part}.
+
+    Files are dealt to tasks, and each is written chunk by chunk. Every chunk must follow the one before
+    and agree with its digest, and a file must be complete, or the restoring fails. The report has a row
+    for each file: source, file, part, bytes, sha256.
+    """
+    key = ["source", "file", "part"]
+    schema = "source string, file string, part string, bytes bigint, sha256 string"
+    dealt = spark.read.parquet(vault).repartition(*key).sortWithinPartitions(*key, "chunk_start")
+    columns = [*key, "part_bytes", "chunk_start", "content", "sha256"]
+    report = new_folder(spark, "restored")
+    dealt.select(*columns).mapInArrow(_file_writer(arrow_uri(target)), schema).write.parquet(report)
+    return spark.read.schema(schema).parquet(report)

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from plantmart import storage
 from plantmart.contracts import PLANTS, SOURCE, SOURCE_LENGTH, Contract
 from plantmart.functions.casts import contract_projection, overlong
+from plantmart.operators.merge import with_audit_columns
 from plantmart.operators.quality import REQUIRED, check_keys, typed_rules
-from plantmart.sources.raw import RawZone
+from plantmart.sources.raw import RawZone, literal, quoted
 
 OK, UNKNOWN_TABLE, FAILED = 200, 400, 500
 TABLES_AT_ONCE = 10
@@ -113,12 +114,19 @@ class Warehouse:
     Readers follow the highest record. A reload writes only new folders and publishes one record
     after all of its tables are complete, so a failure leaves the previous load untouched. One
     writer at a time is assumed; a second one fails on the record number.
+
+    With ``database``, the current folder of each table is also an external table there, which
+    publishing moves, so other sessions can read the warehouse with SQL. Tables move one after the
+    other; reads that must agree with one another go through :meth:`snapshot`.
     """
 
-    def __init__(self, spark: SparkSession, base: str, contracts: Mapping[str, Contract]):
+    def __init__(
+        self, spark: SparkSession, base: str, contracts: Mapping[str, Contract], database: str | None = None
+    ):
         self.spark = spark
         self.base = base.rstrip("/")
         self.contracts = contracts
+        self.database = database
 
     def _records(self) -> list[int]:
         names = storage.child_names(self.spark, f"{self.base}/published")
@@ -138,6 +146,41 @@ class Warehouse:
     def _publish(self, run_id: str, number: int, tables: Mapping[str, Published]) -> None:
         record = {"run_id": run_id, "tables": {n: vars(p) for n, p in tables.items()}}
         storage.publish_text(self.spark, self._record_path(number), json.dumps(record, indent=1))
+        if self.database:
+            self.register()
+
+    def qualified(self, table: str) -> str:
+        return f"{quoted(self.database)}.{quoted(table)}"
+
+    def register(self) -> None:
+        """Point the external tables to the folders of the current record."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(self.database)} LOCATION {literal(self.base)}")
+        for table, entry in self.published().items():
+            fields = ", ".join(
+                f"{quoted(f.name)} {f.dataType.simpleString()}" for f in self.contracts[table].schema.fields
+            )
+            name = self.qualified(table)
+            # The files stay: a table with a location of its own is only an entry of the catalog.
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.sql(
+                f"CREATE TABLE {name} ({fields}) USING parquet PARTITIONED BY ({SOURCE}) "
+                f"LOCATION {literal(entry.path)}"
+            )
+            self.spark.catalog.recoverPartitions(name)
+
+    def adopt(self, table: str, rows: DataFrame, run_id: str | None = None) -> Published:
+        """Publish a table that was written before the audit columns existed; these are NULL then."""
+        run_id = run_id or uuid.uuid4().hex
+        contract, path = self.contracts[table], f"{self.base}/runs/{run_id}/{table}"
+        counts = Observation()
+        completed = with_audit_columns(rows, contract).select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.schema.fields]
+        )
+        completed.observe(counts, F.count(F.lit(1)).alias("rows")).write.partitionBy(SOURCE).parquet(path)
+        numbers, current = self._records(), self.published()
+        current[table] = Published(path, counts.get["rows"])
+        self._publish(run_id, numbers[-1] + 1 if numbers else 1, current)
+        return current[table]
 
     def snapshot(self) -> Snapshot:
         return Snapshot(self.spark, self.contracts, self.published())
@@ -151,11 +194,16 @@ class Warehouse:
         """Write one table to its run folder, counting rows and violations in the same pass."""
         contract = self.contracts[table]
         raw = raw_zone.read(table)
-        sources = sorted({s[:SOURCE_LENGTH] for s in raw_zone.sources(table)})
+        delivered = raw_zone.sources(table)
+        sources = sorted({s[:SOURCE_LENGTH] for s in delivered})
+        if len(sources) < len(delivered):
+            raise ContractViolation(f"{table}: sources are equal in {SOURCE_LENGTH} characters: {sorted(delivered)}")
         bounded = [c for c in contract.columns if c.length is not None]
+        limited = [*(c.name for c in bounded), SOURCE]
         counted = contract_projection(contract) + [
             overlong(c).alias(f"_cut_{c.name}") for c in bounded
         ]
+        counted.append((F.length(SOURCE) > SOURCE_LENGTH).alias(f"_cut_{SOURCE}"))
         rules = [r for r in typed_rules(contract, PLANTS) if r[0] == REQUIRED]
         counts = Observation()
         observed = raw.select(*counted).observe(
@@ -163,7 +211,7 @@ class Warehouse:
             F.count(F.lit(1)).alias("rows"),
             *[F.count_if(F.col(SOURCE) == s).alias(f"source_{i}") for i, s in enumerate(sources)],
             *[F.count_if(violated).alias(f"null_{name}") for _, name, violated in rules],
-            *[F.count_if(f"_cut_{c.name}").alias(f"cut_{c.name}") for c in bounded],
+            *[F.count_if(f"_cut_{name}").alias(f"cut_{name}") for name in limited],
         )
         path = f"{self.base}/runs/{run_id}/{table}"
         (
@@ -177,13 +225,13 @@ class Warehouse:
         if missing:
             raise ContractViolation(f"{table}: NULL in required columns {missing}")
         if strict_keys and contract.key:
-            surplus = check_keys(read_typed(self.spark, contract, path), contract).collect()
+            surplus = check_keys(read_typed(self.spark, contract, path), contract).filter("violations > 0").collect()
             if surplus:
                 raise ContractViolation(
                     f"{table}: repeated keys {({r[SOURCE]: r.violations for r in surplus})}"
                 )
         per_source = {s: seen[f"source_{i}"] for i, s in enumerate(sources)}
-        cut = {c.name: seen[f"cut_{c.name}"] for c in bounded if seen[f"cut_{c.name}"]}
+        cut = {name: seen[f"cut_{name}"] for name in limited if seen[f"cut_{name}"]}
         return Published(path, seen["rows"]), per_source, cut
 
     def reload(
@@ -223,7 +271,10 @@ class Warehouse:
         return result
 
     def retire(self, keep: int = 3) -> list[str]:
-        """Delete run folders and records that none of the last ``keep`` records needs."""
+        """Delete run folders and records that none of the last ``keep`` records needs.
+
+        Folders that are newer than the last record may belong to a load that has not published yet.
+        """
         numbers = self._records()
         kept = numbers[-keep:]
         used = set()
@@ -231,7 +282,9 @@ class Warehouse:
             record = self._record(number)
             used |= {entry["path"].rsplit("/", 2)[1] for entry in record["tables"].values()}
             used.add(record["run_id"])
-        gone = [r for r in storage.child_names(self.spark, f"{self.base}/runs") if r not in used]
+        runs = {r: f"{self.base}/runs/{r}" for r in storage.child_names(self.spark, f"{self.base}/runs")}
+        newest = storage.modified(self.spark, self._record_path(numbers[-1])) if numbers else 0
+        gone = [r for r, path in runs.items() if r not in used and storage.modified(self.spark, path) < newest]
         for run in gone:
             storage.delete(self.spark, f"{self.base}/runs/{run}")
         for number in numbers[:-keep]:

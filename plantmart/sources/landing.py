@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantmart import storage
 from plantmart.functions import names
+from plantmart.session import new_folder
+from plantmart.sources.stores import arrow_uri
 
+# The names of the settings of an extract.
 CONFIG_SCHEMA = T.StructType(
     [
         T.StructField(name, T.StringType())
@@ -82,35 +85,61 @@ class Zones:
     warehouse: str
     database: str
 
+    @property
+    def warehouse_database(self) -> str:
+        return f"{self.database}_dw"
+
     @classmethod
     def under(cls, root: str, database: str) -> Zones:
         return cls(*(f"{root}/{z}" for z in ("landed", "configs", "replicated", "processed", "dw")), database)
 
 
 def discover(spark: SparkSession, base: str) -> DataFrame:
-    """Every file below the landed base; the file contents are not read."""
+    """Every file below the landed base, listed once; the file contents are not read.
+
+    Each folder directly below the base is listed by a task of its own, so tasks follow folders and
+    not bytes. The listing is written to the shared folder, and all that need it read it there.
+    """
     if not storage.exists(spark, base):
         return spark.createDataFrame([], FILES_SCHEMA)
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(base)
-        .select("path", "length", "modificationTime")
-    )
-    # The scan leaves out files of no length. They are deliveries too, so they are added by name.
-    named = {_plain_path(name) for name in found.inputFiles()}
-    if len(named) == found.count():
-        return found
-    every = spark.createDataFrame([(name,) for name in named], "path string")
-    empty = every.join(found, "path", "left_anti").select(
-        "path", F.lit(0).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modificationTime")
-    )
-    return found.unionByName(empty)
-
-
-def _plain_path(uri: str) -> str:
-    """A file name as the scan spells it: nothing escaped, one slash after a bare ``file:``."""
-    return re.sub("^file:/+", "file:/", unquote(uri))
+    root = storage.qualified(spark, base).rstrip("/")
+    folders = [(root, arrow_uri(root), False)]
+    folders += [(path, arrow_uri(path), True) for path in storage.child_folders(spark, base)]
+    wanted = spark.createDataFrame(folders, "folder string, uri string, deep boolean")
+    target = new_folder(spark, "listing")
+    wanted.repartition(len(folders)).mapInArrow(_lister(), FILES_SCHEMA).write.parquet(target)
+    return spark.read.schema(FILES_SCHEMA).parquet(target)
+
+
+def _lister():
+    """A local function travels to the executors by value, so they need not have this package."""
+
+    def hidden(name: str) -> bool:
+        return name.startswith(".") or (name.startswith("_") and "=" not in name)
+
+    def list_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Path, length and time of each visible file, as Spark's own file scans spell and choose them."""
+        from pyarrow import fs
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                folder = row["folder"].rstrip("/")
+                store, path = fs.FileSystem.from_uri(row["uri"])
+                path = path.rstrip("/")
+                if hidden(folder.rsplit("/", 1)[1]) and row["deep"]:
+                    continue
+                found = []
+                for info in store.get_file_info(fs.FileSelector(path, recursive=row["deep"])):
+                    name = info.path[len(path):]
+                    if info.type == fs.FileType.File and not any(map(hidden, name.strip("/").split("/"))):
+                        found.append((folder + name, info.size, info.mtime_ns // 1000))
+                paths, lengths, times = zip(*found) if found else ((), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(paths, pa.string()), pa.array(lengths, pa.int64()), pa.array(times, pa.timestamp("us", "UTC"))],
+                    ["path", "length", "modificationTime"],
+                )
+
+    return list_files
 
 
 def read_configs(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,11 +11,11 @@ from plantmart import storage
 from plantmart.contracts import LOADED_AT, SOURCE
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _literal(text: str) -> str:
+def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -33,7 +33,7 @@ class RawZone:
         self.spark = spark
         self.base = base.rstrip("/")
         self.database = database
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)} LOCATION {_literal(self.base)}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)} LOCATION {literal(self.base)}")
 
     def path(self, table: str) -> str:
         return f"{self.base}/{table}"
@@ -42,7 +42,7 @@ class RawZone:
         return f"{self.path(table)}/{_folder(source)}"
 
     def qualified(self, table: str) -> str:
-        return f"{_quoted(self.database)}.{_quoted(table)}"
+        return f"{quoted(self.database)}.{quoted(table)}"
 
     def sources(self, table: str) -> list[str]:
         """Sources with a partition folder."""
@@ -58,7 +58,7 @@ class RawZone:
 
     def tables(self) -> set[str]:
         """Tables the catalog knows."""
-        listed = self.spark.catalog.listTables(_quoted(self.database))
+        listed = self.spark.catalog.listTables(quoted(self.database))
         return {t.name for t in listed if not t.isTemporary}
 
     def holds(self, table: str) -> bool:
@@ -90,15 +90,15 @@ class RawZone:
         new = [c for c in columns if c not in known]
         name = self.qualified(table)
         if not self.holds(table):
-            fields = ", ".join(f"{_quoted(c)} STRING" for c in known + new)
+            fields = ", ".join(f"{quoted(c)} STRING" for c in known + new)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({fields}, {LOADED_AT} TIMESTAMP, {SOURCE} STRING) "
-                f"USING parquet PARTITIONED BY ({SOURCE}) LOCATION {_literal(self.path(table))}"
+                f"USING parquet PARTITIONED BY ({SOURCE}) LOCATION {literal(self.path(table))}"
             )
         elif new:
-            fields = ", ".join(f"{_quoted(c)} STRING" for c in new)
+            fields = ", ".join(f"{quoted(c)} STRING" for c in new)
             self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({fields})")
-        partitions = " ".join(f"PARTITION ({SOURCE}={_literal(s)})" for s in self.sources(table))
+        partitions = " ".join(f"PARTITION ({SOURCE}={literal(s)})" for s in self.sources(table))
         if partitions:
             self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {partitions}")
         self.spark.catalog.refreshTable(name)

@@ -32,6 +32,24 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(name for name in names if not name.startswith(("_", ".")))
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed, in milliseconds."""
+    fs, target = _resolve(spark, path)
+    return fs.getFileStatus(target).getModificationTime()
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as listings spell it."""
+    fs, target = _resolve(spark, path)
+    return fs.makeQualified(target).toString()
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders in a folder."""
+    fs, target = _resolve(spark, path)
+    return sorted(s.getPath().toString() for s in fs.listStatus(target) if s.isDirectory())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, target = _resolve(spark, path)
     stream = fs.open(target)

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmart.contracts import LOADED_AT, SOURCE
+from plantmart import storage
+from plantmart.contracts import LOADED_AT, PLANTS, SOURCE
 from plantmart.operators.merge import union_all
-from plantmart.operators.quality import rows_per_source
+from plantmart.operators.quality import check_tables, rows_per_source
+from plantmart.plans.vault import replicate, restore
+from plantmart.plans.warehouse import LoadFailed, require_success
 from plantmart.sources.delimited import Layout
 from reconcile.registry import query
+from reconcile.reports import report_sql
 from reconcile.site import LOADED_SQL, Site, exact_sum, exact_sum_sql, plant, plant_sql
 from reconcile.tables import TEST_TABLES, limited, renamed
 
@@ -152,14 +156,14 @@ def merged_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT source, p_brand, count(*)::BIGINT AS row_count, count(p_size)::BIGINT AS sizes FROM ({_MERGED_SQL}) GROUP BY 1, 2")
 def merged_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The warehouse as views over both plants, read with SQL."""
+    """The warehouse database over both plants, read with SQL by qualified names."""
     site = Site(spark, sf_dir)
     _drifted_parts(site)
-    site.loaded("part")
-    prefix = f"{site.zones.database}_"
-    site.snapshot().create_views(prefix)
+    site.ingest()
+    warehouse = site.warehouse(site.zones.warehouse_database)
+    require_success(warehouse.reload(site.zone(), "part"))
     return spark.sql(
-        f"SELECT source, p_brand, count(*) AS row_count, count(p_size) AS sizes FROM {prefix}part GROUP BY ALL"
+        f"SELECT source, p_brand, count(*) AS row_count, count(p_size) AS sizes FROM {warehouse.qualified('part')} GROUP BY ALL"
     )
 
 
@@ -190,16 +194,20 @@ def emptied_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"SELECT 'orders' AS table_name, {plant_sql('o_orderkey')} AS source, count(*)::BIGINT AS row_count "
-    f"FROM orders GROUP BY 2 UNION ALL SELECT 'customer', {plant_sql('c_custkey')}, count(*)::BIGINT "
-    "FROM customer GROUP BY 2"
+    f"SELECT 'orders' AS table_name, {plant_sql('o_orderkey')} AS source, count(*)::BIGINT AS row_count, "
+    "NULL::VARCHAR AS problem FROM orders GROUP BY 2 UNION ALL "
+    "SELECT 'customer', CASE WHEN c_custkey % 2 = 0 THEN 'DKQ' ELSE 'OLD' END, count(*)::BIGINT, "
+    "CASE WHEN c_custkey % 2 = 1 THEN 'unexpected' END FROM customer GROUP BY ALL "
+    "UNION ALL SELECT 'customer', 'FOS', 0, 'missing'"
 )
 def partition_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows by the partition folder their file lies in."""
+    """Rows by the partition folder their file lies in, and what is wrong with the folders."""
     site = Site(spark, sf_dir)
-    site.deliver_tables("orders", "customer")
+    site.deliver_tables("orders")
+    for source, odd in (("DKQ", 0), ("OLD", 1)):
+        site.deliver(site.table("customer").filter(F.col("c_custkey") % 2 == odd), source, "customer")
     site.ingest()
-    counted = []
+    counted, problems = [], []
     for table in ("orders", "customer"):
         folder = F.regexp_extract("_metadata.file_path", "/source=([^/]*)/[^/]*$", 1)
         one = (
@@ -209,7 +217,10 @@ def partition_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.lit(table).alias("table_name"), SOURCE, "row_count")
         )
         counted.append(one)
-    return union_all(counted)
+        problems += [(table, s, p) for s, p in site.zone().layout_differences(table, PLANTS)]
+    found = spark.createDataFrame(problems, "table_name string, source string, problem string")
+    joined = union_all(counted).join(F.broadcast(found), ["table_name", SOURCE], "full")
+    return joined.withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("bigint")))
 
 
 @query("SELECT *, 500 AS second_status FROM (" + _audited("orders", "o_orderkey") + ")")
@@ -230,14 +241,13 @@ def failed_reload_keeps_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, {plant_sql(k)} AS source, count(*)::BIGINT AS row_count FROM {t} GROUP BY 2"
+        f"SELECT '{t}' AS table_name, {plant_sql(k)} AS source, count(*)::BIGINT AS row_count, true AS same_bytes "
+        f"FROM {t} GROUP BY 2"
         for t, k in (("customer", "c_custkey"), ("part", "p_partkey"))
     )
 )
 def replica_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records counted in the vaulted bytes themselves, after replicating twice."""
-    from plantmart.plans.vault import replicate
-
+    """Records counted in the restored files, after replicating twice."""
     site = Site(spark, sf_dir)
     for table in ("customer", "part"):
         key = site.contracts[table].key[0]
@@ -246,21 +256,30 @@ def replica_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = sum(e.delivery.bytes for e in landing.entries)
     for _ in range(2):
         replicate(landing.files, landing.accepted, site.zones.replicated, total, chunk_bytes=10_000)
-    chunks = spark.read.parquet(site.zones.replicated)
-    lines = F.length(F.regexp_replace(F.decode("content", "iso-8859-1"), "[^\n]", ""))
-    header = F.when(F.col("chunk_start") == 0, 1).otherwise(0)
-    return chunks.groupBy(
-        F.lower(F.regexp_extract("file", "^([A-Z]+)_", 1)).alias("table_name"), "source"
-    ).agg(F.sum(lines - header).cast("bigint").alias("row_count"))
+    restored = f"{site.root}/restored"
+    files = restore(spark, site.zones.replicated, restored)
+    lines = spark.read.option("recursiveFileLookup", True).text(restored).groupBy(
+        F.regexp_extract("_metadata.file_path", "/restored/([^/]+)/([^/]+)", 1).alias("source"),
+        F.regexp_extract("_metadata.file_path", "/restored/([^/]+)/([^/]+)", 2).alias("file"),
+    ).agg(F.count("*").alias("lines"))
+    # Every part file has a header line.
+    heads = files.filter("bytes > 0").groupBy("source", "file").agg(F.count("*").alias("heads"))
+    landed = landing.files.agg(F.sum("length")).first()[0]
+    same_bytes = files.agg(F.sum("bytes")).first()[0] == landed
+    return lines.join(heads, ["source", "file"]).select(
+        F.lower(F.regexp_extract("file", "^([A-Z]+)_", 1)).alias("table_name"), "source",
+        (F.col("lines") - F.col("heads")).alias("row_count"), F.lit(same_bytes).alias("same_bytes"),
+    )
 
 
 _REPORT_TABLES = ("region", "customer", "orders", "lineitem")
 
 
 @query(
-    "SELECT 'customer' AS table_name, 'loaded' AS status, count(*)::BIGINT AS row_count, 200 AS status_code FROM customer"
-    " UNION ALL SELECT 'orders', 'loaded', count(*)::BIGINT, 200 FROM orders"
-    " UNION ALL SELECT 'region', 'skipped', NULL, 200 UNION ALL SELECT 'lineitem', 'skipped', NULL, 200"
+    "SELECT *, 200 AS status_code, true AS has_run_by, 'default' AS run_database FROM ("
+    "SELECT 'customer' AS table_name, 'loaded' AS status, count(*)::BIGINT AS row_count FROM customer"
+    " UNION ALL SELECT 'orders', 'loaded', count(*)::BIGINT FROM orders"
+    " UNION ALL SELECT 'region', 'skipped', NULL UNION ALL SELECT 'lineitem', 'skipped', NULL)"
 )
 def reload_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four tables wanted, two delivered."""
@@ -268,7 +287,8 @@ def reload_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     site.deliver_tables("customer", "orders")
     site.ingest()
     report = site.reload().report(spark)
-    return report.select("table_name", "status", "row_count", "status_code")
+    named = F.length("run_by") > 0
+    return report.select("table_name", "status", "row_count", "status_code", named.alias("has_run_by"), "run_database")
 
 
 def _table_counts(site: Site) -> DataFrame:
@@ -370,3 +390,116 @@ def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         totals.append(one)
     return union_all(totals).join(report.select("table_name", "status"), "table_name")
+
+
+@query(
+    "SELECT 'loaded' AS status, count(*)::BIGINT AS row_count, NULL::VARCHAR AS message FROM customer"
+    " UNION ALL SELECT 'skipped', NULL, 'not delivered'"
+    " UNION ALL SELECT 'rejected', NULL, 'DKQ/' || f || ': several extracts for one table and source' FROM "
+    "(VALUES ('ORDERS_prod_extract.csv.gz'), ('ORDERS_qa_extract.csv.gz')) v(f)"
+    " UNION ALL SELECT 'rejected', NULL, 'FOS/STRANGE_prod_extract.csv.gz: no configuration'"
+)
+def rejected_in_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two extracts of one table and source, and one without settings, are named in the run's report."""
+    site = Site(spark, sf_dir, {t: TEST_TABLES[t] for t in ("customer", "orders")})
+    site.deliver_tables("customer")
+    orders = site.table("orders")
+    for suffix in ("_prod_extract", "_qa_extract"):
+        site.deliver(orders, "DKQ", "orders", suffix=suffix)
+    site.deliver(orders, "FOS", "orders", stem="STRANGE")
+    del site.settings["STRANGE"]
+    return site.run().report().select("status", "row_count", "message")
+
+
+@query(
+    "SELECT source, count(*)::BIGINT AS row_count, "
+    "(SELECT count(*)::BIGINT FROM customer WHERE c_custkey % 2 = 0) AS cut_sources FROM (SELECT "
+    "CASE WHEN c_custkey % 2 = 0 THEN 'DKQ_LABORA' ELSE 'FOS' END AS source FROM customer) GROUP BY 1"
+)
+def long_source_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source name beyond ten characters is cut, and the rows concerned are counted."""
+    site = Site(spark, sf_dir)
+    customers = site.table("customer")
+    site.deliver(customers.filter("c_custkey % 2 = 0"), "DKQ_LABORATORY", "customer")
+    site.deliver(customers.filter("c_custkey % 2 = 1"), "FOS", "customer")
+    site.ingest()
+    cut = site.reload("customer").cut_values["customer"][SOURCE]
+    counted = site.warehouse().read("customer").groupBy(SOURCE).agg(F.count("*").alias("row_count"))
+    return counted.withColumn("cut_sources", F.lit(cut).cast("bigint"))
+
+
+@query(
+    "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, NULL::VARCHAR AS source, "
+    "NULL::TIMESTAMP AS last_updated_at FROM customer"
+)
+def adopted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table from before the audit columns joins the warehouse; nobody knows its sources."""
+    site = Site(spark, sf_dir)
+    site.warehouse().adopt("customer", site.table("customer"))
+    return site.warehouse().read("customer")
+
+
+@query(
+    "SELECT 'customer' AS table_name, count(*)::BIGINT AS row_count, true AS stopped FROM customer"
+    " UNION ALL SELECT 'part', count(*)::BIGINT, true FROM part"
+)
+def failed_extract_keeps_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract that cannot be read stops the run before the reload, though another one changed."""
+    site = Site(spark, sf_dir)
+    site.deliver_tables("customer", "part")
+    site.run()
+    site.deliver(site.table("customer").filter("false"), "DKQ", "customer")
+    site.deliver(site.table("part"), "FOS", "part", parts=2)
+    extract = f"{site.zones.landed}/FOS/PART_prod_extract.csv.gz"
+    storage.write_text(spark, f"{extract}/part-broken.csv.gz", "this is no gzip")
+    stopped = False
+    try:
+        site.run()
+    except Exception:  # whatever the scan says
+        stopped = True
+    return _table_counts(site).withColumn("stopped", F.lit(stopped))
+
+
+@query(
+    "SELECT o.*, g.gate FROM (" + _audited("orders", "o_orderkey") + ") o, (SELECT 'status 500' AS gate) g"
+)
+def closed_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose reload fails ends in an error, and the published rows are those of the run before."""
+    site = Site(spark, sf_dir)
+    site.deliver_tables("orders")
+    site.run()
+    broken = F.when(F.col("o_orderkey") % 2 == 0, "12x").otherwise(F.col("o_orderkey").cast("string"))
+    site.deliver(site.table("orders").withColumn("o_custkey", broken), "DKQ", "orders")
+    gate = "open"
+    try:
+        site.run()
+    except LoadFailed as error:
+        gate = str(error)[:10]
+    return site.warehouse().read("orders").withColumn("gate", F.lit(gate))
+
+
+@query(
+    report_sql(
+        [TEST_TABLES["lineitem"]],
+        [
+            "SELECT 'lineitem' AS table_name, 'reference' AS rule, 'l_orderkey -> orders' AS column_name, "
+            "CASE WHEN l_partkey % 2 = 0 THEN 'DKQ' ELSE 'FOS' END AS source, count(*) AS violations "
+            "FROM lineitem WHERE l_linenumber <> 7 GROUP BY 4",
+            "SELECT 'lineitem', 'unique key', 'l_orderkey, l_linenumber', source, sum(n - 1) FROM ("
+            "SELECT CASE WHEN l_linenumber <> 7 THEN l_orderkey END AS k, l_linenumber, "
+            "CASE WHEN l_partkey % 2 = 0 THEN 'DKQ' ELSE 'FOS' END AS source, count(*) AS n "
+            "FROM lineitem GROUP BY ALL) GROUP BY source",
+        ],
+    )
+)
+def undelivered_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders were never delivered, so every line with an order number refers to nothing."""
+    site = Site(spark, sf_dir, {t: TEST_TABLES[t] for t in ("orders", "lineitem")})
+    rows = site.table("lineitem").withColumn(
+        "l_orderkey", F.when(F.col("l_linenumber") != 7, F.col("l_orderkey"))
+    )
+    site.deliver_by_plant(rows, "l_partkey", "lineitem", parts=2)
+    site.ingest()
+    require_success(site.reload())
+    tables = site.snapshot()
+    return check_tables(tables.tables(), site.contracts, size_of=tables.lookup_bytes)

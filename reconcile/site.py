@@ -69,7 +69,7 @@ class Site:
         extension: str = ".csv.gz",
         parts: int = 1,
     ) -> None:
-        """Write an extract as its part files, at least so many, replacing the previous one.
+        """Write an extract as its part files, so many if more than one, replacing the previous one.
 
         Values are turned to text first: the CSV writer would cut timestamps to milliseconds.
         """
@@ -81,7 +81,7 @@ class Site:
             "Encoding": layout.encoding,
             "MultiLine": str(layout.multi_line).lower(),
         }
-        if parts > 1 and rows.rdd.getNumPartitions() < parts:
+        if parts > 1:
             rows = rows.repartition(parts, F.monotonically_increasing_id())
         texts = rows.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns])
         (
@@ -114,8 +114,8 @@ class Site:
     def zone(self) -> RawZone:
         return RawZone(self.spark, self.zones.processed, self.zones.database)
 
-    def warehouse(self) -> Warehouse:
-        return Warehouse(self.spark, self.zones.warehouse, self.contracts)
+    def warehouse(self, database: str | None = None) -> Warehouse:
+        return Warehouse(self.spark, self.zones.warehouse, self.contracts, database)
 
     def survey(self) -> Landing:
         write_configs(self.spark, self.zones.configs, self.settings)

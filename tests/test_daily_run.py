@@ -1,15 +1,18 @@
+import dataclasses
 import os
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from plantmart import session
 from plantmart.lab_tables import FACT, LAB_TABLES
 from plantmart.operators.quality import check_tables
 from plantmart.plans.marts import current_results, enriched_results, monthly_results
-from plantmart.plans.vault import replicate
+from plantmart.plans.vault import replicate, restore
 from plantmart.plans.daily_run import survey_landing
-from tests.lab import DELIVERY, FACT_HEADER, Lab
+from plantmart.sources.stores import UnknownStore
+from tests.lab import AT, DELIVERY, FACT_HEADER, Lab
 
 
 @pytest.fixture
@@ -74,7 +77,7 @@ def test_enrichment_without_optional_tables(lab):
     lab.deliver_all("DKQ", without=("MLP_VIEW", "PHRASE"))
     lab.run()
     rows = enriched_results(lab.warehouse().snapshot())
-    assert rows.count() == 2 and "limits_known" not in rows.columns and "granulometrie_known" not in rows.columns
+    assert [(r.limits_known, r.granulometrie_known) for r in rows.collect()] == [(False, False)] * 2
 
 
 def test_undelivered_source_is_reloaded_from_its_partition(lab):
@@ -150,6 +153,40 @@ def test_vault_holds_the_bytes_and_replaces_file_by_file(lab):
     assert after["DKQ", "CUSTOMER_prod_extract.csv.gz", ""] == open(customer, "rb").read()
 
 
+def test_restored_files_are_checked(lab, tmp_path):
+    customer = lab.deliver("DKQ", "CUSTOMER", ["IDENTITY", *[f"C{i}" for i in range(900)]])
+    sample = lab.deliver("FOS", "SAMPLE", [], name="SAMPLE_prod_extract.csv")
+    open(sample, "wb").close()
+    landing = survey_landing(lab.spark, lab.zones)
+    replicate(landing.files, landing.accepted, lab.zones.replicated, 10**6, chunk_bytes=500)
+    report = {(r.source, r.file): r.bytes for r in restore(lab.spark, lab.zones.replicated, str(tmp_path / "out")).collect()}
+    for path in (customer, sample):
+        source, name = path.split("/")[-2:]
+        content = open(path, "rb").read()
+        assert (tmp_path / "out" / source / name).read_bytes() == content
+        assert report[source, name] == len(content)
+    chunks = lab.spark.read.parquet(lab.zones.replicated)
+    damages = {
+        "lost": chunks.filter("chunk_start <> 500"),
+        "twice": chunks.unionByName(chunks.filter("chunk_start = 500")),
+        "changed": chunks.withColumn("content", F.expr("IF(chunk_start = 500, reverse(content), content)")),
+        "short": chunks.filter("chunk_start < 500"),
+    }
+    for name, rows in damages.items():
+        rows.write.parquet(str(tmp_path / name))
+        with pytest.raises(Exception, match="damaged|are in the vault"):
+            restore(lab.spark, str(tmp_path / name), str(tmp_path / "out"))
+
+
+def test_landed_zone_in_an_unknown_store_is_refused(lab):
+    lab.deliver("DKQ", "CUSTOMER", DELIVERY["CUSTOMER"])
+    lab.spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.odd.link./in", f"file://{lab.zones.landed}")
+    lab.zones = dataclasses.replace(lab.zones, landed="viewfs://odd/in")
+    with pytest.raises(UnknownStore):
+        lab.run()
+    assert not os.path.exists(lab.zones.processed) or os.listdir(lab.zones.processed) == []
+
+
 def test_part_files_keep_their_names_in_the_vault(lab):
     folder = lab.deliver("DKQ", "CUSTOMER", DELIVERY["CUSTOMER"], name="one.csv.gz")
     target = f"{lab.zones.landed}/DKQ/CUSTOMER_prod_extract.csv.gz"
@@ -164,3 +201,31 @@ def test_work_folder_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert session.new_folder(spark, "x").startswith(named + "/x-")
     assert session.new_folder(spark, "x") != session.new_folder(spark, "x")
+
+
+def test_results_have_the_same_columns_whatever_was_delivered(lab):
+    lab.deliver_all("DKQ", without=("PHRASE", "MLP_HEADER", "MLP_VIEW"))
+    lab.run()
+    some = enriched_results(lab.warehouse().snapshot())
+    assert [(r.product_known, r.granulometrie_known, r.limits_known) for r in some.collect()] == [(False,) * 3] * 2
+    assert all(r.granulometrie_phrase_type is None and r.sampling_point_known is not None for r in some.collect())
+    report = check_tables(lab.warehouse().snapshot().tables(), LAB_TABLES).filter("violations > 0").collect()
+    found = {(r.table_name, r.column_name): r.violations for r in report if r.rule == "reference"}
+    assert found[FACT, "product, product_version -> mlp_header"] == 3
+    assert found[FACT, "granulometrie -> phrase"] == 2
+    lab.deliver_all("DKQ")
+    lab.run()
+    whole = enriched_results(lab.warehouse().snapshot())
+    assert whole.schema.simpleString() == some.schema.simpleString()
+
+
+def test_warehouse_database_follows_the_record(lab):
+    lab.deliver("DKQ", "CUSTOMER", ["IDENTITY", "C1"])
+    lab.run()
+    name = f"{lab.zones.warehouse_database}.customer"
+    assert [tuple(r)[:2] for r in lab.spark.table(name).collect()] == [("C1", AT.replace(tzinfo=None))]
+    lab.deliver("FOS", "CUSTOMER", ["IDENTITY", "C2"])
+    lab.run()
+    lab.run()
+    assert sorted(r.identity for r in lab.spark.table(name).collect()) == ["C1", "C2"]
+    assert len(os.listdir(f"{lab.zones.warehouse}/runs")) == 3

@@ -1,13 +1,14 @@
 import hashlib
 import os
 
-from pyspark.sql import Row
+import pytest
+from pyspark.sql import Observation, Row
 from pyspark.sql import functions as F
 
 from plantmart.lab_tables import LAB_TABLES
 from plantmart.operators.merge import merge_sources, with_audit_columns
 from plantmart.plans.daily_run import ingest_landing, survey_landing
-from plantmart.plans.ingest import write_tasks
+from plantmart.plans.ingest import NoRowCount, write_tasks
 from tests.lab import AT, Lab
 
 
@@ -187,3 +188,18 @@ def test_merge_and_audit_columns(spark):
     assert completed.schema.simpleString() == LAB_TABLES["customer"].schema.simpleString()
     assert tuple(completed.first()) == ("c", None, None)
     assert with_audit_columns(completed, LAB_TABLES["customer"]).columns == completed.columns
+
+
+@pytest.mark.parametrize("seen", [{}, {"rows_0": None}, {"rows_0": 0, "malformed_0": 0}])
+def test_an_extract_is_not_emptied_for_want_of_a_count(spark, tmp_path, monkeypatch, seen):
+    lab = Lab(spark, tmp_path)
+    lab.configure()
+    lab.deliver("DKQ", "CUSTOMER", ["IDENTITY", "C1", "C2"])
+    ingest(lab)
+    monkeypatch.setattr(Observation, "get", property(lambda self: seen))
+    with pytest.raises(NoRowCount):
+        ingest(lab)
+    assert contents(lab, "customer") == [("DKQ", "C1"), ("DKQ", "C2")]
+    lab.deliver("DKQ", "CUSTOMER", ["IDENTITY"])
+    (result,) = ingest(lab)
+    assert result.rows == 0 and contents(lab, "customer") == []

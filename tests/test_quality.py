@@ -147,3 +147,29 @@ def test_rolling_window_bounds_and_pushdown(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "t"))
     scan = rolling_window(spark.read.parquet(str(tmp_path / "t")), "t", datetime(2026, 2, 28))
     assert "GreaterThan(t,2024-02-28T00:00)" in scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_and_missing_parents_take_one_pass_over_the_child(spark, tmp_path):
+    keys = spark.range(50).selectExpr("CAST(id AS STRING) AS identity", "'DKQ' AS source")
+    child = Contract(
+        "child", (text("a", 9), text("b", 9), text("c", 9)),
+        references=(refers("a", "small", "identity"), refers("b", "missing", "identity"), refers("c", "large", "identity")),
+    )
+    parent = (text("identity", 9),)
+    contracts = {"child": child, "small": Contract("small", parent), "large": Contract("large", parent)}
+    rows = spark.range(100).selectExpr(
+        "CAST(id AS STRING) AS a", "IF(id < 10, NULL, 'x') AS b", "CAST(id + 20 AS STRING) AS c",
+        "IF(id % 2 = 0, 'DKQ', 'FOS') AS source",
+    )
+    tables = {}
+    for name, frame in {"child": rows, "small": keys, "large": keys}.items():
+        frame.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    report = check_tables(tables, contracts, size_of=lambda table, columns: 1000 if table == "small" else None)
+    found = {(r.rule, r.column_name, r.source): r.violations for r in report.collect() if r.table_name == "child"}
+    assert found["reference", "a -> small", "DKQ"] == 25 and found["reference", "a -> small", "FOS"] == 50
+    assert found["reference", "b -> missing", "DKQ"] == 45 and found["reference", "b -> missing", "FOS"] == 45
+    assert found["reference", "c -> large", "DKQ"] == 35 and found["reference", "c -> large", "FOS"] == 50
+    assert found["known source", "source", "DKQ"] == 0
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [a#") == 2

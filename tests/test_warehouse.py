@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pytest
 
@@ -211,3 +212,23 @@ def test_width_bounds(lab):
 def test_success_passes_the_gate():
     ok = ReloadResult("r", 200)
     assert require_success(ok) is ok
+
+
+def test_sources_that_would_merge_fail_the_reload(lab):
+    for source in ("LABORATORY1", "LABORATORY2"):
+        lab.deliver(source, "CUSTOMER", ["IDENTITY", "C1"])
+    ingest(lab)
+    result = reload(lab)
+    assert result.status == 500 and "equal in 10 characters" in result.message
+    assert lab.warehouse().published() == {}
+
+
+def test_retire_spares_a_load_that_has_not_published(lab):
+    lab.deliver("DKQ", "CUSTOMER", DELIVERY["CUSTOMER"])
+    ingest(lab)
+    for run in ("r1", "r2"):
+        reload(lab, run_id=run)
+    time.sleep(1.1)
+    os.makedirs(f"{lab.zones.warehouse}/runs/going-on/customer")
+    assert lab.warehouse().retire(keep=1) == ["r1"]
+    assert sorted(os.listdir(f"{lab.zones.warehouse}/runs")) == ["going-on", "r2"]
