@@ -42,10 +42,6 @@ def config_stem(file_name: Column) -> Column:
     return F.regexp_replace(bare, "(?i)" + ENVIRONMENT_SUFFIXES, "")
 
 
-def is_true(text: Column) -> Column:
-    return F.coalesce(F.lower(text) == "true", F.lit(False))
-
-
 def join_path(base: Column | str, *parts: Column) -> Column:
     start = F.lit(base) if isinstance(base, str) else base
     return F.concat_ws("/", F.regexp_replace(start, "/+$", ""), *parts)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from plantmart.lab_tables import (
     EXCLUDED_CODE,
     FORMAT_TYPE,
-    GRANULOMETRY_TYPE,
     MONTHLY_CODE,
     STATUS_FLAGS,
 )
@@ -30,10 +29,6 @@ def of_type(phrases: DataFrame, phrase_type: str, column: str = "phrase_type") -
     return phrases.filter(F.col(column) == phrase_type)
 
 
-def granulometry_phrases(phrases: DataFrame) -> DataFrame:
-    return of_type(phrases, GRANULOMETRY_TYPE)
-
-
 def format_phrases(phrases: DataFrame) -> DataFrame:
     return of_type(phrases, FORMAT_TYPE)
 

@@ -106,7 +106,7 @@ def daily_run(
     With nothing landed the reload still republishes what was ingested before. What was not accepted
     is kept, with the reason, under the run's name.
     """
-    session.configure(spark)
+    spark = session.configure(spark)
     for place in (zones.landed, zones.replicated):
         arrow_uri(storage.qualified(spark, place))
     loaded_at = loaded_at or datetime.now(timezone.utc)

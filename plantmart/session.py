@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import SparkSession
 
-# All are runtime SQL settings, so they can be applied to a session somebody else created.
+# All are runtime SQL settings; they hold in a session of the engine's own.
 SETTINGS = {
     # Audit timestamps carry no zone in the warehouse.
     "spark.sql.session.timeZone": "UTC",
@@ -29,13 +30,26 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+_MARK = "plantmart.configured"
+
 _fallback_folder: str | None = None
+_own_sessions: WeakKeyDictionary[SparkSession, SparkSession] = WeakKeyDictionary()
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+    """The engine's session of the same application: the given one's settings, and its own above them.
+
+    The given session is left as it is. Both share the catalog and all resources.
+    """
+    if spark.conf.get(_MARK, None):
+        return spark
+    own = _own_sessions.get(spark)
+    if own is None:
+        own = _own_sessions[spark] = spark.newSession()
+    for key, value in {**spark.conf.getAll, **SETTINGS, _MARK: "true"}.items():
+        if key in SETTINGS or key == _MARK or own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
 
 
 def shared_folder(spark: SparkSession) -> str:

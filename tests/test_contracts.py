@@ -24,6 +24,7 @@ def test_nineteen_references_and_fifteen_keys():
 
 
 def test_schemas():
+    # The columns of two tables of the contract.
     header = LAB_TABLES["mlp_header"]
     assert header.raw_names == ["entry_code", "product_version"]
     assert header.schema.simpleString() == (
@@ -39,6 +40,7 @@ def test_schemas():
 def test_delivery_covers_every_table():
     assert {t.lower() for t in DELIVERY} == set(LAB_TABLES)
     settings = standard_settings(LAB_TABLES)
+    # The settings of one table.
     assert settings["FOURNISSEUR"] == {
         "TargetTable": "fournisseur", "HasHeader": "true", "Delimiter": ",", "Encoding": "windows-1252"
     }

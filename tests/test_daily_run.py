@@ -229,3 +229,16 @@ def test_warehouse_database_follows_the_record(lab):
     lab.run()
     assert sorted(r.identity for r in lab.spark.table(name).collect()) == ["C1", "C2"]
     assert len(os.listdir(f"{lab.zones.warehouse}/runs")) == 3
+
+
+def test_the_given_session_keeps_its_settings(spark):
+    given = spark.newSession()
+    given.conf.set("spark.sql.shuffle.partitions", "3")
+    before = given.conf.getAll
+    own = session.configure(given)
+    assert own.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert all(own.conf.get(k) == v for k, v in session.SETTINGS.items())
+    assert given.conf.getAll == before
+    given.conf.set("spark.sql.shuffle.partitions", "5")
+    assert session.configure(given) is own and own.conf.get("spark.sql.shuffle.partitions") == "5"
+    assert session.configure(own) is own

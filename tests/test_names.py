@@ -58,13 +58,6 @@ def test_uri_parts(spark, uri, bucket, key):
     assert value(spark, names.uri_key, uri) == key
 
 
-@pytest.mark.parametrize(
-    "text, truth", [("true", True), ("TRUE", True), ("True ", False), ("1", False), ("", False), (None, False)]
-)
-def test_is_true(spark, text, truth):
-    assert value(spark, names.is_true, text) is truth
-
-
 def test_extract_path_folds_part_files(spark):
     assert value(spark, names.extract_path, "s3://b/DKQ/T.csv.gz/part-1.csv.gz") == "s3://b/DKQ/T.csv.gz"
     assert value(spark, names.extract_path, "s3://b/DKQ/T.csv.gz") == "s3://b/DKQ/T.csv.gz"

@@ -3,11 +3,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from plantmart.contracts import Contract, flag, number, refers, text
-from plantmart.lab_tables import LAB_TABLES
+from plantmart.lab_tables import GRANULOMETRY_TYPE, LAB_TABLES
 from plantmart.operators.filters import (
     format_phrases,
-    granulometry_phrases,
     monthly_rows,
+    of_type,
     rolling_window,
     without_excluded,
 )
@@ -131,7 +131,7 @@ def test_excluded_rows_go_and_null_flags_stay(spark):
 
 def test_phrase_and_monthly_filters(spark):
     phrases = spark.createDataFrame([("a", "GRANULO"), ("b", "FORMAT"), ("c", None)], "phrase_id string, phrase_type string")
-    assert [r[0] for r in granulometry_phrases(phrases).collect()] == ["a"]
+    assert [r[0] for r in of_type(phrases, GRANULOMETRY_TYPE).collect()] == ["a"]
     assert [r[0] for r in format_phrases(phrases).collect()] == ["b"]
     months = spark.createDataFrame([("F",), ("T",), (None,)], "annuel string")
     assert monthly_rows(months).count() == 1
