@@ -87,9 +87,132 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 """
 
 
+_WORD = "[^\\x20\\x09-\\x0D]+"
+
+ORACLES["op9_seed_and_extend"] = f"""
+WITH words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents)
+),
+windows AS (
+  SELECT doc_id, i, string_agg(word, ' ') OVER following AS content, count(*) OVER following AS n
+  FROM words WINDOW following AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+),
+ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY content ORDER BY doc_id, i) AS copy FROM windows WHERE n = 20
+),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM ranked, range(20) steps(k) WHERE copy > 1)
+SELECT d.doc_id, count(w.i) AS n_words, count(g.i) AS n_removed,
+       sha256(coalesce(string_agg(w.word, ' ' ORDER BY w.i) FILTER (g.i IS NULL), '')) AS kept_sha256
+FROM documents d LEFT JOIN words w ON w.doc_id = d.doc_id
+LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.i = w.i
+GROUP BY d.doc_id
+"""
+
+
+def _count_sql(characters: str) -> str:
+    return f"length(regexp_replace(text, '[^{characters}]', '', 'g'))"
+
+
+_RULES = quality_rules.Rules()
+_CLASSES_SQL = {
+    "space": _count_sql("\\x20\\x09-\\x0D"), "lower": _count_sql("a-z"), "upper": _count_sql("A-Z"),
+    "digit": _count_sql("0-9"), "stop": _count_sql(".,;:?\\x27\\x22()\\-"), "symbol": _count_sql("#*$%&|<>"),
+    "ascii": _count_sql("\\x00-\\x7F"), "wide": f"strlen(text) - {_count_sql('\\x00-\\x7F')}",
+}
+_BINS = ("space", "lower", "upper", "digit", "stop", "symbol", "other", "wide")
+
+
+def _divergence_sql(p: str, q: str) -> str:
+    return (
+        f"sqrt(least(greatest(sum((CASE WHEN {p} > 0 THEN {p} * log2({p} / (({p} + {q}) / 2)) ELSE 0 END "
+        f"+ CASE WHEN {q} > 0 THEN {q} * log2({q} / (({p} + {q}) / 2)) ELSE 0 END)) / 2, 0), 1))"
+    )
+
+
+# Documents are numbered by their ids, which are keys in the given tables.
+ORACLES["op5_quality_rules"] = f"""
+WITH texts AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT doc_id, lang, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i
+  FROM (SELECT doc_id, lang, regexp_extract_all(text, '{_WORD}') AS w FROM texts)
+),
+totals AS (SELECT doc_id, count(*) AS n_words, sum(length(word))::BIGINT AS word_chars FROM words GROUP BY 1),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts),
+repeated_lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines
+  WHERE regexp_matches(line, '{_WORD}') GROUP BY 1
+),
+windows AS (
+  SELECT doc_id, i, string_agg(word, ' ') OVER following AS content, count(*) OVER following AS n
+  FROM words WINDOW following AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+),
+again AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, content) AS found FROM windows WHERE n = 8),
+repeated_words AS (
+  SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, i + k FROM again, range(8) steps(k) WHERE found > 1)
+  GROUP BY 1
+),
+counted AS (SELECT doc_id, lang, {', '.join(f'{sql} AS "{c}"' for c, sql in _CLASSES_SQL.items())} FROM texts),
+classes AS (
+  SELECT doc_id, lang, bin, n FROM (
+    SELECT *, "ascii" - space - lower - upper - digit - stop - symbol AS other FROM counted
+  ) UNPIVOT (n FOR bin IN ({', '.join(_BINS)}))
+),
+class_shares AS (
+  SELECT doc_id, lang, bin, coalesce(n / nullif(sum(n) OVER (PARTITION BY doc_id), 0), 0) AS p FROM classes
+),
+class_reference AS (
+  SELECT lang, bin, coalesce(n / nullif(sum(n) OVER (PARTITION BY lang), 0), 0) AS q
+  FROM (SELECT lang, bin, sum(n) AS n FROM classes GROUP BY lang, bin)
+),
+by_class AS (
+  SELECT doc_id, {_divergence_sql('p', 'q')} AS distance FROM class_shares s JOIN class_reference r
+  ON r.lang IS NOT DISTINCT FROM s.lang AND r.bin = s.bin GROUP BY 1
+),
+word_counts AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang) AS total
+  FROM (SELECT lang, word, count(*) AS n FROM words GROUP BY lang, word)
+),
+common AS (SELECT lang, word, n / total AS q FROM word_counts WHERE n >= {_RULES.common_share} * total),
+word_reference AS (
+  SELECT * FROM common UNION ALL SELECT lang, NULL, 1 - sum(q) FROM common GROUP BY lang
+),
+found_words AS (
+  SELECT w.doc_id, c.word, count(*) AS n FROM words w
+  LEFT JOIN common c ON c.lang IS NOT DISTINCT FROM w.lang AND c.word = w.word GROUP BY ALL
+),
+by_word AS (
+  SELECT doc_id, {_divergence_sql('p', 'q')} AS distance FROM (
+    SELECT t.doc_id, r.q, coalesce(f.n, 0) / t.n_words AS p
+    FROM totals t JOIN texts x ON x.doc_id = t.doc_id JOIN word_reference r ON r.lang IS NOT DISTINCT FROM x.lang
+    LEFT JOIN found_words f ON f.doc_id = t.doc_id AND f.word IS NOT DISTINCT FROM r.word
+  ) GROUP BY 1
+),
+judged AS (
+  SELECT x.doc_id, coalesce(t.n_words, 0) AS n_words, coalesce(t.word_chars, 0) AS word_chars,
+    c.symbol AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(w.n, 0) AS n_repeat_words,
+    coalesce(bc.distance, 0) AS class_distance, coalesce(bw.distance, 0) AS word_distance
+  FROM texts x LEFT JOIN totals t USING (doc_id) LEFT JOIN counted c USING (doc_id)
+  LEFT JOIN repeated_lines l USING (doc_id) LEFT JOIN repeated_words w USING (doc_id)
+  LEFT JOIN by_class bc USING (doc_id) LEFT JOIN by_word bw USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed
+  AND NOT (n_words >= {_RULES.least_words_for_classes} AND class_distance >
+    {_RULES.most_class_distance} + {_RULES.class_slack} / sqrt(greatest(n_words, 1)))
+  AND NOT (n_words >= {_RULES.least_words_for_words} AND word_distance >
+    {_RULES.most_word_distance} + {_RULES.word_slack} / sqrt(greatest(n_words, 1))) AS kept
+FROM (
+  SELECT *, n_words < {_RULES.least_words} OR 100 * n_repeat_words > {100 * _RULES.most_repeated:.0f} * n_words AS base_failed
+  FROM judged
+)
+"""
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+    found = quality_rules.verdicts(table(spark, sf_dir, "documents"))
+    return found.drop("class_distance", "word_distance")
 
 
 @query
