@@ -110,8 +110,11 @@ def _without(chunk: pa.RecordBatch) -> tuple[pa.Array, list[np.ndarray]]:
 
 
 def _with_dead(docs: DataFrame, least_lines: int) -> DataFrame:
-    """The rows with the list of their dead lines, which is NULL for most."""
-    dead = dead_lines(keyed(docs), least_lines)
+    """The rows with the list of their dead lines, which is NULL for most.
+
+    The lists grow with the documents, so they are merged with them and not broadcast, whatever their size.
+    """
+    dead = dead_lines(keyed(docs), least_lines).hint("merge")
     dead = dead.select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("dead").alias(DEAD))
     doc = F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID))
     return docs.join(dead, (doc == F.col("_doc")) & (F.hash(docs["text"]) == F.col("_row")), "left")
