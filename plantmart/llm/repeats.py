@@ -275,7 +275,7 @@ def repeated(docs: DataFrame, windows: Windows) -> DataFrame:
             .agg(F.collect_set(F.struct("start", "n", "lead")).alias("b"))
             .select("doc", "row", *(F.col(f"b.{c}").alias(f"{c}s") for c in ("start", "n", "lead")))
         )
-        texts = docs.select("doc", "row", "text").join(lists, ["doc", "row"])
+        texts = docs.select("doc", "row", "text").join(lists.hint("merge"), ["doc", "row"])
         found = _compare(texts.mapInArrow(refined(size), _SQL), windows, "repeats")
         results = results.unionByName(found.where(F.col("kind") == REPEATED))
     return results.select("doc", "row", "start", "n")
@@ -288,7 +288,7 @@ def listed(docs: DataFrame, places: DataFrame) -> DataFrame:
         .agg(F.collect_set(F.struct("start", "n")).alias("b"))
         .select("doc", "row", F.col("b.start").alias("starts"), F.col("b.n").alias("ns"))
     )
-    return docs.join(lists, ["doc", "row"], "left").select("doc_id", "text", "starts", "ns")
+    return docs.join(lists.hint("merge"), ["doc", "row"], "left").select("doc_id", "text", "starts", "ns")
 
 
 def marked(chunk: pa.RecordBatch, symbols: Symbols, length: int) -> np.ndarray:

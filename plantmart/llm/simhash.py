@@ -219,6 +219,7 @@ def one_of_each(docs: DataFrame, size: int = 4, distance: int = DISTANCE) -> Dat
     kept = _roots(distinct, distance).groupBy("root").agg(F.min("first").alias("kept")).select("kept.*")
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_hash"))
     kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("hash").alias("kept_hash"))
-    found = docs.join(kept, same)
+    # What is kept grows with the documents, so it is merged with them and not broadcast.
+    found = docs.join(kept.hint("merge"), same)
     place = F.row_number().over(Window.partitionBy("kept_id", "kept_hash").orderBy("kept_id"))
     return found.withColumn("_place", place).where("_place = 1").select(*[docs[c] for c in docs.columns])

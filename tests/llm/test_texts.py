@@ -217,7 +217,7 @@ def test_pipeline(spark):
     verdicts = plain.quality_kept([(r.text, r.lang) for r in docs], quality_rules.Rules())
     docs = [r for r, kept in zip(docs, verdicts) if kept]
     cleaned = [x[0] for x in plain.lines_without_copies([r.text for r in docs])]
-    labels = plain.smallest_reachable([plain.fingerprint(t, size=5) for t in cleaned])
+    labels = plain.smallest_reachable([plain.fingerprint(t) for t in cleaned])
     expected = []
     for at in sorted(set(labels)):
         ids = plain.tokens(cleaned[at])
