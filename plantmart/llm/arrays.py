@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 4 << 20
+# Positions that are told apart beside a 40-bit hash.
+PLACES = 1 << 24
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LENGTH_FACTOR = 0xD6E8FEB86659FD93
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -124,21 +126,24 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def window_minimum(hashes: np.ndarray, width: int) -> np.ndarray:
     """Position of the smallest hash in each window of `width` hashes, the last of equal ones.
 
-    Windows are those that start at 0 to len(hashes) - width. The choice depends on the window's
-    content alone, so equal stretches of text choose equal positions.
+    Windows are those that start at 0 to len(hashes) - width. The first 40 bits of the hashes count. The
+    choice depends on the window's content alone, not on where it stands or how long the rest is, so
+    equal stretches of text choose equal positions.
     """
-    n = len(hashes)
-    if n < width:
-        return np.empty(0, np.int64)
-    bits = np.uint64(max(1, int(n).bit_length()))
-    low = (np.uint64(1) << bits) - np.uint64(1)
-    least = (hashes & ~low) | (low - np.arange(n, dtype=np.uint64))
-    step = 1
-    while step * 2 <= width:
-        least = np.minimum(least[:-step], least[step:])
-        step *= 2
-    count = n - width + 1
-    least = np.minimum(least[:count], least[width - step : width - step + count])
+    n, step = len(hashes), PLACES - width + 1
+    parts = [_least_places(hashes[at : at + PLACES], width) + at for at in range(0, n - width + 1, step)]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+
+def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
+    low = np.uint64(PLACES - 1)
+    least = (hashes & ~low) | (low - np.arange(len(hashes), dtype=np.uint64))
+    size = 1
+    while size * 2 <= width:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    count = len(hashes) - width + 1
+    least = np.minimum(least[:count], least[width - size : width - size + count])
     return (low - (least & low)).astype(np.int64)
 
 

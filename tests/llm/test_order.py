@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plantmart.llm import mixing, nearest, queries
+from plantmart.llm import arrays, mixing, nearest, queries
 from plantmart.llm.components import components
 
 SMALL = "/root/testdata/sf0.001"
@@ -26,6 +26,17 @@ def test_schedule_keeps_to_the_weights(weights):
     assert had == shares
 
 
+@pytest.mark.parametrize("places", (arrays.PLACES, 64))
+def test_window_minima(places, monkeypatch):
+    monkeypatch.setattr(arrays, "PLACES", places)
+    for n, width in ((0, 5), (4, 5), (5, 5), (63, 7), (64, 7), (65, 7), (500, 16), (300, 1)):
+        values = np.random.default_rng(n).integers(0, 40, n).astype(np.uint64) << np.uint64(50)
+        expected = [
+            max(range(k, k + width), key=lambda i: (-int(values[i]), i)) for k in range(n - width + 1)
+        ]
+        assert arrays.window_minimum(values, width).tolist() == expected
+
+
 def test_weights_are_checked():
     for weights in ({"a": 0, "b": 1}, {str(k): 1 for k in range(1001)}):
         with pytest.raises(ValueError):
