@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 # Positions that are told apart beside a 40-bit hash.
 PLACES = 1 << 24
 BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -34,6 +34,8 @@ SEED = 42
 DISTANCE = 4
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
 BLOCK = 4096
+# Text that is hashed at a time: a shingle takes some hundred bytes while its bits are counted.
+SHINGLE_BYTES = 1 << 20
 # Capital letters A to Z become small ones; all other bytes stay.
 _FOLDED = np.arange(256, dtype=np.uint8)
 _FOLDED[ord("A") : ord("Z") + 1] += 32
@@ -80,7 +82,7 @@ def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
     """doc_id, a hash of the text and the fingerprint (64 bits as a bigint) of each row."""
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in arrays.chunks(batches):
+        for chunk in arrays.chunks(batches, most=SHINGLE_BYTES):
             found = fingerprints_of(chunk.column("text"), size).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [chunk.column("doc_id"), chunk.column("hash"), pa.array(found)],
