@@ -51,10 +51,15 @@ def _doubled(runs: DataFrame, step: int) -> DataFrame:
 
 
 def _active(runs: DataFrame) -> DataFrame:
-    """Runs whose name occurs more than once, with the place of the first."""
+    """Runs whose name occurs more than once, with the place of the first.
+
+    The names are written first: a join of two shuffled sides is one whose hot keys Spark splits, which it
+    cannot do in the stage that groups the names.
+    """
     place = F.struct("doc", "row", "i")
     names = runs.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    return runs.join(names.where("first != last").select("name", "first"), "name")
+    again = stored(names.where("first != last").select("name", "first"), "names")
+    return runs.join(again.hint("merge"), "name")
 
 
 def dead_lines(docs: DataFrame, least_lines: int = 2) -> DataFrame:
