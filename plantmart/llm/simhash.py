@@ -52,8 +52,8 @@ def _shingle_bounds(first: np.ndarray, starts: np.ndarray, ends: np.ndarray, siz
     return starts[at], ends[last], before
 
 
-def fingerprints_of(texts: pa.LargeBinaryArray, size: int) -> np.ndarray:
-    """The 64-bit fingerprint of each text."""
+def shingles(texts: pa.LargeBinaryArray, size: int):
+    """Folded words with one space after each, starts and ends of all shingles, and how many lie before each text."""
     data, offsets = arrays.text_bytes(texts)
     starts, ends, first = arrays.word_spans(data, offsets)
     # Words end to end with one space after each: a shingle is then one stretch of bytes.
@@ -63,7 +63,12 @@ def fingerprints_of(texts: pa.LargeBinaryArray, size: int) -> np.ndarray:
     gaps = np.zeros(len(row), dtype=bool)
     gaps[new_starts + lengths] = True
     row[~gaps] = _FOLDED[data[~arrays.IS_SPACE[data]]]
-    left, right, before = _shingle_bounds(first, new_starts, new_starts + lengths, size)
+    return row, *_shingle_bounds(first, new_starts, new_starts + lengths, size)
+
+
+def fingerprints_of(texts: pa.LargeBinaryArray, size: int) -> np.ndarray:
+    """The 64-bit fingerprint of each text."""
+    row, left, right, before = shingles(texts, size)
     whole, digest = row.tobytes(), xxhash.xxh64_intdigest
     found = [digest(whole[a:b], SEED) for a, b in zip(left.tolist(), right.tolist())]
     hashes = np.array(found, dtype=np.uint64)
@@ -219,6 +224,11 @@ def one_of_each(docs: DataFrame, size: int = 4, distance: int = DISTANCE) -> Dat
     marked = stored(fingerprints(docs, size), "simhash")
     distinct = marked.groupBy("fingerprint").agg(F.min(row).alias("first"))
     kept = _roots(distinct, distance).groupBy("root").agg(F.min("first").alias("kept")).select("kept.*")
+    return only(docs, kept)
+
+
+def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Of the documents those that `kept` names by doc_id and hash of the text, each once."""
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_hash"))
     kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("hash").alias("kept_hash"))
     # What is kept grows with the documents, so it is merged with them and not broadcast.
