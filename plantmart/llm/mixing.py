@@ -174,10 +174,10 @@ def places(docs: DataFrame, weights: Weights, block: int = 16) -> DataFrame:
     return dealt.select("doc_id", "row", "source", "block", known.cast("bigint").alias("slot"), "place")
 
 
-def tempered(docs: DataFrame, power: float = 0.5) -> dict[str | None, float]:
-    """Target weights that flatten the sizes of the sources: their counts to a power below 1."""
-    counted = docs.groupBy(F.col("source").cast("string")).count().limit(PERIOD + 1).collect()
-    return {source: float(n) ** power for source, n in counted}
+def tempered(docs: DataFrame, power: float = 0.5) -> DataFrame:
+    """Target weights (source, weight) that flatten the sizes of the sources: their counts to a power below 1."""
+    counted = docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.count("*").alias("n"))
+    return counted.select("source", F.pow("n", F.lit(power)).alias("weight"))
 
 
 def mixed(docs: DataFrame, weights: Weights, block: int = 16) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Slots against the given weights over many periods."""
+"""Slots against the given weights over many periods, and many sources."""
 
 import math
 
@@ -41,6 +41,14 @@ def test_deviation_does_not_grow(spark, weights):
             assert abs(had - slot * w) < 2 and abs(had + 1 - (slot + 1) * w) < 2
 
 
+def test_more_sources_than_a_period_has_slots(spark):
+    rows = [(k, f"text {k}", f"domain{k % 1300}") for k in range(2600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = mixing.places(docs, mixing.tempered(docs), block=1).collect()
+    assert sorted(r.doc_id for r in found) == list(range(2600))
+    assert sorted(r.slot for r in found) == list(range(2600))
+
+
 def test_a_weight_that_is_not_positive_fails(spark):
     docs = spark.createDataFrame([(1, "t", "a")], "doc_id bigint, text string, source string")
     with pytest.raises(Exception, match="positive"):
