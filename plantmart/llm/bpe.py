@@ -217,11 +217,13 @@ def _decoded(vocabulary: Vocabulary, tokens: np.ndarray, offsets: np.ndarray) ->
     return arrays.binaries(data, np.concatenate(([0], np.cumsum(lengths)))[offsets], pa.binary())
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool = False) -> DataFrame:
+def encode(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool = False, carried: tuple[str, ...] = ()
+) -> DataFrame:
     """doc_id and tokens (an array of int) of every row of `docs`, which needs doc_id and text.
 
     Each match of `pattern` is encoded separately; there are no special tokens. With `decoded`, the tokens
-    are decoded again in the same pass, into the column `decoded`.
+    are decoded again in the same pass, into the column `decoded`. Columns named in `carried` come along.
     """
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
 
@@ -233,10 +235,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool
                 columns = {"doc_id": chunk.column("doc_id"), "tokens": lists}
                 if decoded:
                     columns["decoded"] = _decoded(vocabulary, tokens, offsets)
+                columns |= {c: chunk.column(c) for c in carried}
                 yield pa.RecordBatch.from_pydict(columns)
 
-    texts = docs.select(F.col("doc_id").cast("bigint"), "text")
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text", *carried)
     schema = "doc_id bigint, tokens array<int>" + (", decoded binary" if decoded else "")
+    schema += "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carried)
     return texts.mapInArrow(encoded, schema)
 
 

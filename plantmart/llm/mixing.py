@@ -180,13 +180,20 @@ def tempered(docs: DataFrame, power: float = 0.5) -> DataFrame:
     return counted.select("source", F.pow("n", F.lit(power)).alias("weight"))
 
 
-def mixed(docs: DataFrame, weights: Weights, block: int = 16) -> DataFrame:
-    """The documents in the order of the mix: file by file and row by row, if they are written."""
+def placed(docs: DataFrame, weights: Weights, block: int = 16) -> DataFrame:
+    """The documents with slot and place, in the order of the mix: file by file and row by row, if they are written."""
     where = places(docs, weights, block).select(F.col("doc_id").alias("id"), F.col("row").alias("h"), "slot", "place")
     spots = where.groupBy("id", "h").agg(F.collect_list(F.struct("slot", "place")).alias("spots"))
-    columns = docs.columns
     single = docs.withColumn("_row", row_hash(docs)).dropDuplicates(["doc_id", "_row"])
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("id")) & (F.col("_row") == F.col("h"))
     spread = single.join(spots, same).withColumn("_spot", F.explode("spots"))
     ordered = spread.repartitionByRange("_spot").sortWithinPartitions("_spot")
-    return ordered.select(*[F.col(f"`{c}`") for c in columns])
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("slot", "place")]
+    return ordered.select(*kept, F.col("_spot.slot").alias("slot"), F.col("_spot.place").alias("place"))
+
+
+def mixed(docs: DataFrame, weights: Weights, block: int = 16) -> DataFrame:
+    """The documents in the order of the mix, with the columns they have."""
+    renamed = {"slot": "_slot", "place": "_place"}
+    found = placed(docs.withColumnsRenamed(renamed), weights, block)
+    return found.select(*[F.col(f"`{renamed.get(c, c)}`").alias(c) for c in docs.columns])

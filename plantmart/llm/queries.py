@@ -225,15 +225,16 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def token_digests(docs: DataFrame) -> DataFrame:
+def token_digests(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """Every text encoded and decoded again: number of ids, digests of the ids and of the bytes."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    found = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
+    found = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True, carried=carried)
     return found.select(
         "doc_id",
         F.size("tokens").cast("bigint").alias("n_tokens"),
         F.sha2(bpe.joined(F.col("tokens")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *carried,
     )
 
 

@@ -1,12 +1,15 @@
-"""Slots against the given weights over many periods, and many sources."""
+"""Slots against the given weights over many periods, many sources, and the mix in the pipeline's result."""
 
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from plantmart.llm import mixing
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def slots(spark, weights, n_slots):
     """(source, slots in order) of all blocks that are due before n_slots."""
@@ -53,3 +56,21 @@ def test_a_weight_that_is_not_positive_fails(spark):
     docs = spark.createDataFrame([(1, "t", "a")], "doc_id bigint, text string, source string")
     with pytest.raises(Exception, match="positive"):
         mixing.places(docs, {"a": 0.0}).collect()
+
+
+def test_the_pipeline_gives_its_rows_in_the_order_of_the_mix(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, SMALL)
+    docs = docs.localCheckpoint()
+    rows = sorted((r.source, r.doc_id) for r in docs.select("source", "doc_id").collect())
+    by_source = {}
+    for source, doc in rows:
+        by_source.setdefault(source, []).append(doc)
+    weights = {s: len(ids) ** 0.5 for s, ids in by_source.items()}
+    order = slots(spark, weights, 2000)
+    expected = sorted((order[s][k // 16], k % 16, doc) for s, ids in by_source.items() for k, doc in enumerate(ids))
+    assert [r.doc_id for r in corpus_pipeline.run(spark, SMALL).collect()] == [doc for *_, doc in expected]
+    stage = corpus_pipeline.mix_sources(spark, docs, SMALL)
+    last = corpus_pipeline.encode_tokens(spark, stage, SMALL)
+    assert sorted((r.slot, r.place, r.doc_id) for r in last.collect()) == expected
