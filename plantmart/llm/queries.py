@@ -13,6 +13,7 @@ from plantmart.llm import (
     line_dedup,
     mixing,
     nearest,
+    piece_counts,
     prefix_free,
     quality_model,
     quality_rules,
@@ -279,3 +280,14 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+# Texts of more tokens than this do not fit into one training sequence.
+CONTEXT = 4096
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = piece_counts.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    found = piece_counts.token_counts(table(spark, sf_dir, "documents"), pieces)
+    return found.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
