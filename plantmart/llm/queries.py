@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from plantmart.llm import (
     bpe,
+    collocations,
     line_dedup,
     mixing,
     nearest,
@@ -291,3 +292,50 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = piece_counts.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     found = piece_counts.token_counts(table(spark, sf_dir, "documents"), pieces)
     return found.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES["op13_collocations"] = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+grams AS (
+  {" UNION ALL ".join(
+      f"SELECT lang, {k} AS d, array_to_string(ws[i : i + {k - 1}], ' ') AS phrase "
+      f"FROM (SELECT lang, ws, unnest(range(1, len(ws) - {k} + 2)) AS i FROM words)"
+      for k in range(1, collocations.LONGEST + 1)
+  )}
+),
+found AS (SELECT lang, d, phrase, count(*) AS n FROM grams GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM words GROUP BY 1),
+candidates AS (SELECT lang, d, phrase, n AS a, string_split(phrase, ' ') AS ws FROM found WHERE d > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, x.k, l.n AS l, r.n AS r, t.n AS n,
+    ((1000::HUGEINT * c.a * t.n) // (l.n::HUGEINT * r.n))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, d)) AS k FROM candidates) x
+  JOIN candidates c ON c.lang = x.lang AND c.phrase = x.phrase JOIN totals t ON t.lang = c.lang
+  JOIN found l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1 : x.k], ' ')
+  JOIN found r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[x.k + 1 :], ' ')
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, a, array_to_string(ws[i : i + k - 1], ' ') AS phrase FROM (
+    SELECT lang, a, ws, k, unnest(range(1, d - k + 2)) AS i FROM (
+      SELECT *, unnest(range(2, d)) AS k FROM candidates
+    )
+  )
+),
+kept AS (SELECT b.* FROM best b ANTI JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase AND i.a >= b.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+) WHERE rank <= {collocations.TOP}
+"""
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
