@@ -19,6 +19,7 @@ from plantmart.llm import (
     quality_model,
     quality_rules,
     simhash,
+    spelling,
     substring,
     toxicity,
 )
@@ -339,3 +340,73 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM (
 @query
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def _crc_nibbles() -> list[int]:
+    table = list(range(16))
+    for _ in range(4):
+        table = [x >> 1 ^ (0xEDB88320 if x & 1 else 0) for x in table]
+    return table
+
+
+def _crc_step(state: str) -> str:
+    """Four bits of a checksum; lists count from one."""
+    return f"xor(({_crc_nibbles()}::BIGINT[])[({state} & 15) + 1], {state} >> 4)"
+
+
+_HALF = _crc_step("xor(c, b)")
+
+ORACLES["op11_spelling_variants"] = f"""
+WITH runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+      '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents
+  ) GROUP BY ALL
+),
+bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)) AS bs
+  FROM runs
+),
+checked AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, bs), lambda c, b: {_crc_step(f"({_HALF})")})) AS h
+  FROM bytes
+),
+thinned AS (
+  SELECT n, CASE WHEN h % {spelling.THINNED} = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word
+  FROM checked
+),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM thinned WHERE length(word) >= {spelling.LEAST_LENGTH}
+  GROUP BY 1 HAVING sum(n) >= {spelling.LEAST_COUNT}
+),
+places AS (SELECT word, n, unnest(range(length(word))) AS i FROM words),
+holes AS (SELECT word, n, i, word[: i] || '*' || word[i + 2 :] AS hole FROM places),
+links AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM places a JOIN words b ON a.word[: a.i] || a.word[a.i + 2 :] = b.word
+  UNION SELECT b.word, a.word, a.n FROM places a JOIN words b ON a.word[: a.i] || a.word[a.i + 2 :] = b.word
+),
+best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM links
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1
+),
+formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 2 * w.n THEN b.near END AS form,
+    CASE WHEN b.near_n >= 2 * w.n THEN b.near_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+),
+chains AS (
+  WITH RECURSIVE steps AS (
+    SELECT word, word AS at FROM formed
+    UNION ALL SELECT s.word, f.form FROM steps s JOIN formed f ON f.word = s.at WHERE f.form IS NOT NULL
+  )
+  SELECT s.word, s.at AS root FROM steps s JOIN formed f ON f.word = s.at WHERE f.form IS NULL
+)
+SELECT word, n, n_near, form, form_n, root FROM formed JOIN chains USING (word)
+"""
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
