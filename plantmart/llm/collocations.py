@@ -2,12 +2,12 @@
 
 Phrases are counted in a suffix tree that is truncated at five words and built piece by piece, in three steps.
 
-1. A first scan counts words and word pairs in a fixed number of slots, by hash. A pair in a slot below the least
-   frequency is rare for certain, and so is every phrase with it inside. The slots come back as one bit each;
-   their number is a parameter, so what is broadcast has a fixed size. Once they are full, nothing is ruled out any
-   more: the next step moves more rows then, but finds the same.
+1. A first scan counts words, pairs and triples of words in a fixed number of slots, by hash. What lies in a slot
+   below the least frequency is rare for certain, and so is every phrase with it inside. The slots come back as
+   one bit each; their number is a parameter, so what is broadcast has a fixed size. Once they are full, nothing is
+   ruled out any more: the next step moves more rows then, but finds the same.
 2. A second scan gives the suffix that starts at each word: the words from there to the end of the piece, five at
-   most, cut off before the first pair that is ruled out. Equal suffixes of a block of texts become one row
+   most, cut off where a pair or triple is ruled out. Equal suffixes of a block of texts become one row
    with a count. Rows are dealt by their prefix of two words; a prefix that takes more than its share of
    all pairs is extended to three. So each group of prefixes fits into a task.
 3. Each group, sorted, is its part of the tree: a node at depth d is a run of rows with equal first d words, and its
@@ -83,9 +83,11 @@ class Words:
         # Zero stands for no word.
         self.hashes[self.hashes == 0] = 1
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of each pair of neighbouring words, and whether both lie in one piece."""
-        return _pair(self.hashes[:-1], self.hashes[1:]), self.pieces[:-1] == self.pieces[1:]
+    def grams(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Hash of each pair and of each triple of neighbouring words, and whether it lies in one piece."""
+        pairs = _pair(self.hashes[:-1], self.hashes[1:])
+        triples = _pair(pairs[:-1], self.hashes[2:])
+        return [(pairs, self.pieces[:-1] == self.pieces[1:]), (triples, self.pieces[:-2] == self.pieces[2:])]
 
 
 def _lang_hash(lang: str) -> int:
@@ -113,11 +115,12 @@ class Slots:
 
     def __init__(self, bits: int, flags: bytes, crowded: np.ndarray):
         self.bits = bits
-        self.flags = np.unpackbits(np.frombuffer(flags, dtype=np.uint8)).view(bool)
+        self.flags = np.frombuffer(flags, dtype=np.uint8)
         self.crowded = crowded
 
     def enough(self, hashes: np.ndarray) -> np.ndarray:
-        return self.flags[_slot(hashes, self.bits)]
+        slot = _slot(hashes, self.bits)
+        return (self.flags[slot >> 3] << (slot & 7).astype(np.uint8)) & 0x80 != 0
 
     def hot(self, pairs: np.ndarray) -> np.ndarray:
         return np.isin(_slot(pairs, self.bits), self.crowded)
@@ -140,8 +143,7 @@ def _slots(docs: DataFrame, least: int, bits: int) -> tuple[int, bytes, np.ndarr
         found, size = [], 0
         for chunk in arrays.chunks(batches):
             words = Words(chunk)
-            pairs, inside = words.pairs()
-            found += [_slot(words.hashes, bits), _slot(pairs[inside], bits)]
+            found += [_slot(h, bits) for h in (words.hashes, *(gram[inside] for gram, inside in words.grams()))]
             size += len(words.data)
             if size >= BLOCK_BYTES:
                 yield entries()
@@ -187,30 +189,35 @@ def _slots(docs: DataFrame, least: int, bits: int) -> tuple[int, bytes, np.ndarr
 
 
 def _suffix_rows(words: list[Words], slots: Slots, longest: int) -> Iterator[pa.RecordBatch]:
-    """Suffixes of a block, cut off before the first rare pair; then its words; then its languages."""
+    """Suffixes of a block, cut off where they become rare; then its words; then its languages."""
     hashes = np.concatenate([w.hashes for w in words])
     if not len(hashes):
         return
-    inside, pairs = np.zeros(len(hashes), dtype=bool), np.zeros(len(hashes), dtype=np.uint64)
-    at = 0
-    for w in words:
-        if len(w.hashes):
-            pairs[at : at + len(w.hashes) - 1], inside[at : at + len(w.hashes) - 1] = w.pairs()
-        at += len(w.hashes)
     often = slots.enough(hashes)
-    goes_on = inside & often & slots.enough(pairs)
-    goes_on[:-1] &= often[1:]
-    goes_on[-1] = False
-    start = np.flatnonzero(goes_on)
+    # Whether the pair and the triple that start at a word may be frequent.
+    frequent = []
+    for which in range(2):
+        flags = []
+        for w in words:
+            gram, inside = w.grams()[which]
+            flags += [inside & slots.enough(gram), np.zeros(len(w.hashes) - len(gram), dtype=bool)]
+        frequent.append(np.concatenate(flags) & often)
+    pair, triple = frequent
+    pair[:-1] &= often[1:]
+    triple[:-1] &= pair[:-1] & pair[1:]
+    start = np.flatnonzero(pair)
     path = arrays.mix(hashes[start])
     parts, alive = [hashes[start]], np.ones(len(start), dtype=bool)
     for k in range(1, LONGEST):
-        alive &= goes_on[np.minimum(start + k - 1, len(hashes) - 1)] if k < longest else False
+        if k >= longest:
+            alive = np.zeros(len(start), dtype=bool)
+        elif k > 1:
+            alive &= triple[np.minimum(start + k - 2, len(hashes) - 1)]
         parts.append(np.where(alive, hashes[np.minimum(start + k, len(hashes) - 1)], np.uint64(0)))
         path = arrays.mix(path + parts[-1])
     _, first, n = np.unique(path, return_index=True, return_counts=True)
     rows = [p[first] for p in parts]
-    deal = pairs[start[first]]
+    deal = _pair(rows[0], rows[1])
     hot = slots.hot(deal)
     deal[hot] = _pair(deal[hot], rows[2][hot])
     yield _rows(deal, rows, n, None, None)
