@@ -7,11 +7,13 @@ Phrases are counted in a suffix tree that is truncated at five words and built p
    one bit each; their number is a parameter, so what is broadcast has a fixed size. Once they are full, nothing is
    ruled out any more: the next step moves more rows then, but finds the same.
 2. A second scan gives the suffix that starts at each word: the words from there to the end of the piece, five at
-   most, cut off where a pair or triple is ruled out. Equal suffixes of a block of texts become one row
-   with a count. Rows are dealt by their prefix of two words; a prefix that takes more than its share of
-   all pairs is extended to three. So each group of prefixes fits into a task.
-3. Each group, sorted, is its part of the tree: a node at depth d is a run of rows with equal first d words, and its
-   frequency is the sum over the leaves below. Nodes of the least frequency or more are written down.
+   most, cut off where a pair or triple is ruled out. Equal suffixes of a block of texts become one
+   with a count. They are dealt to groups by their prefix of two words, and there are so many groups that
+   one takes its share of a memory budget; a prefix with more than its share is extended to the whole suffix.
+   What a block has for a group travels as one packed row.
+3. Each group, sorted, is its part of the tree: a node at depth d is a run of suffixes with equal first d words, and
+   its frequency is the sum over the leaves below. Nodes of the least frequency or more are written down, those
+   below an extended prefix in any case, and are summed over the groups.
 
 Scores need the frequencies of a phrase's parts, which are nodes too, and come by joins. A phrase that some longer one
 contains as often also occurs as often in one that is longer by a single word, so those are enough to drop it.
@@ -44,8 +46,13 @@ SLOT_BITS = 27
 # Slots are summed in ranges of so many; an entry holds a slot of its range and a count of up to 2^14 - 1.
 RANGE_BITS = 18
 COUNT_BITS = 32 - RANGE_BITS
-# A pair with more than this part of all words is split by its third word.
+# A pair with more than this part of all that is counted is split.
 SHARE = 1024
+# Groups: one for so much of all that is counted, but so many at least.
+GROUP_BITS = 22
+LEAST_GROUPS = 256
+# Suffixes of a group are combined again when there are so many.
+COMBINE = 1 << 20
 # Suffixes are combined within blocks of this many bytes of text.
 BLOCK_BYTES = 16 << 20
 SALTS = 64
@@ -58,7 +65,9 @@ _APART = _BREAK.copy()
 _APART[list(b" \t")] = True
 
 _PARTS = [f"w{k}" for k in range(1, LONGEST + 1)]
-_SUFFIXES = "deal bigint, " + ", ".join(f"{c} bigint" for c in _PARTS) + ", n bigint, lang string, word string"
+_SUFFIXES = pa.schema(
+    [*((c, pa.uint64()) for c in _PARTS), ("n", pa.int64()), ("lang", pa.string()), ("word", pa.string())]
+)
 _RANGES = pa.schema(
     [("part", pa.int64()), ("flags", pa.binary()), ("n", pa.int64())]
     + [(c, pa.list_(pa.int64())) for c in ("slot", "of")]
@@ -111,10 +120,10 @@ def _merged(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Slots:
-    """Which slots reach the least frequency, and which pairs take more than their share of all words."""
+    """Which slots reach the least frequency, and which pairs take more than their share of all that is counted."""
 
-    def __init__(self, bits: int, flags: bytes, crowded: np.ndarray):
-        self.bits = bits
+    def __init__(self, bits: int, flags: bytes, crowded: np.ndarray, groups: int):
+        self.bits, self.groups = bits, groups
         self.flags = np.frombuffer(flags, dtype=np.uint8)
         self.crowded = crowded
 
@@ -126,7 +135,7 @@ class Slots:
         return np.isin(_slot(pairs, self.bits), self.crowded)
 
 
-def _slots(docs: DataFrame, least: int, bits: int) -> tuple[int, bytes, np.ndarray]:
+def _slots(docs: DataFrame, least: int, bits: int) -> tuple[int, bytes, np.ndarray, int]:
     """The arguments of Slots. The driver receives one bit a slot and at most a few thousand crowded slots."""
     part_bits = min(RANGE_BITS, bits)
     whole = (1 << COUNT_BITS) - 1
@@ -185,14 +194,13 @@ def _slots(docs: DataFrame, least: int, bits: int) -> tuple[int, bytes, np.ndarr
     total = ranges.agg(F.sum("n")).first()[0] or 0
     # No more than SHARE slots can hold so many.
     several = ranges.select(F.explode(F.arrays_zip("slot", "of")).alias("x")).where(F.col("x.of") * SHARE > total)
-    return bits, bytes(flags), np.array(sorted(r.slot for r in several.select("x.slot").collect()), dtype=np.int64)
+    crowded = np.array(sorted(r.slot for r in several.select("x.slot").collect()), dtype=np.int64)
+    return bits, bytes(flags), crowded, max(LEAST_GROUPS, total >> GROUP_BITS)
 
 
-def _suffix_rows(words: list[Words], slots: Slots, longest: int) -> Iterator[pa.RecordBatch]:
-    """Suffixes of a block, cut off where they become rare; then its words; then its languages."""
+def _suffixes_of(words: list[Words], slots: Slots, longest: int) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+    """Suffixes of a block, cut off where they become rare, then its words, then its languages; with what deals them."""
     hashes = np.concatenate([w.hashes for w in words])
-    if not len(hashes):
-        return
     often = slots.enough(hashes)
     # Whether the pair and the triple that start at a word may be frequent.
     frequent = []
@@ -215,12 +223,12 @@ def _suffix_rows(words: list[Words], slots: Slots, longest: int) -> Iterator[pa.
             alive &= triple[np.minimum(start + k - 2, len(hashes) - 1)]
         parts.append(np.where(alive, hashes[np.minimum(start + k, len(hashes) - 1)], np.uint64(0)))
         path = arrays.mix(path + parts[-1])
-    _, first, n = np.unique(path, return_index=True, return_counts=True)
-    rows = [p[first] for p in parts]
-    deal = _pair(rows[0], rows[1])
+    path, first, n = np.unique(path, return_index=True, return_counts=True)
+    parts = [p[first] for p in parts]
+    deal = _pair(parts[0], parts[1])
     hot = slots.hot(deal)
-    deal[hot] = _pair(deal[hot], rows[2][hot])
-    yield _rows(deal, rows, n, None, None)
+    deal[hot] = path[hot]
+    yield deal, _batch(parts, n, None, None)
 
     found, first, n = np.unique(hashes[often], return_index=True, return_counts=True)
     first = np.flatnonzero(often)[first]
@@ -233,18 +241,29 @@ def _suffix_rows(words: list[Words], slots: Slots, longest: int) -> Iterator[pa.
         text = w.data[arrays.gathered(w.starts[at], lengths)]
         strings = arrays.binaries(text, np.concatenate(([0], np.cumsum(lengths))), pa.string())
         langs = pa.array(w.langs, pa.string()).take(pa.array(w.lang[at]))
-        yield _rows(arrays.mix(found[mine]), [found[mine]], n[mine], langs, strings)
-        n_lang = np.bincount(w.lang, minlength=len(w.langs))
+        yield arrays.mix(found[mine]), _batch([found[mine]], n[mine], langs, strings)
         seeds = np.array([_lang_hash(lang) for lang in w.langs], dtype=np.uint64)
-        yield _rows(seeds, [seeds], n_lang, pa.array(w.langs, pa.string()), None)
+        yield seeds, _batch([seeds], np.bincount(w.lang, minlength=len(w.langs)), pa.array(w.langs, pa.string()), None)
 
 
-def _rows(deal: np.ndarray, parts: list[np.ndarray], n: np.ndarray, langs, words) -> pa.RecordBatch:
+def _batch(parts: list[np.ndarray], n: np.ndarray, langs, words) -> pa.RecordBatch:
     parts = [*parts, *[np.zeros(len(n), np.uint64)] * (LONGEST - len(parts))]
     none = pa.nulls(len(n), pa.string())
-    columns = [pa.array(x.view(np.int64)) for x in (deal, *parts)] + [pa.array(n.astype(np.int64))]
+    columns = [*map(pa.array, parts), pa.array(n.astype(np.int64))]
     columns += [none if langs is None else langs, none if words is None else words]
-    return pa.RecordBatch.from_arrays(columns, ["deal", *_PARTS, "n", "lang", "word"])
+    return pa.RecordBatch.from_arrays(columns, schema=_SUFFIXES)
+
+
+def _packed(words: list[Words], slots: Slots, longest: int) -> pa.RecordBatch:
+    """What a block has for each group, one row for a group."""
+    deal, batches = zip(*_suffixes_of(words, slots, longest))
+    group = (np.concatenate(deal) % np.uint64(slots.groups)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    rows = pa.concat_batches(batches).take(pa.array(order))
+    found, first = np.unique(group[order], return_index=True)
+    ends = np.append(first, len(order))
+    blobs = [rows.slice(a, b - a).serialize().to_pybytes() for a, b in zip(ends, ends[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(found), pa.array(blobs, pa.binary())], ["group", "suffixes"])
 
 
 def _suffixes(docs: DataFrame, shared, longest: int) -> DataFrame:
@@ -255,57 +274,72 @@ def _suffixes(docs: DataFrame, shared, longest: int) -> DataFrame:
             block.append(Words(chunk))
             size += len(block[-1].data)
             if size >= BLOCK_BYTES:
-                yield from _suffix_rows(block, slots, longest)
+                yield _packed(block, slots, longest)
                 block, size = [], 0
         if block:
-            yield from _suffix_rows(block, slots, longest)
+            yield _packed(block, slots, longest)
         arrays.give_back()
 
-    return _texts(docs).mapInArrow(suffixes, _SUFFIXES)
+    return _texts(docs).mapInArrow(suffixes, "group bigint, suffixes binary")
 
 
-def _subtrees(shared, least: int):
-    """Nodes of sorted suffixes. What has been split is given below the least frequency too."""
-
-    def nodes(batch: pa.RecordBatch, slots: Slots) -> Iterator[pa.RecordBatch]:
-        if not batch.num_rows:
-            return
-        parts = [batch.column(c).to_numpy().view(np.uint64) for c in _PARTS]
-        n = batch.column("n").to_numpy()
-        new = np.zeros(batch.num_rows, dtype=bool)
-        new[0] = True
-        for depth, part in enumerate(parts, 1):
-            new[1:] |= part[1:] != part[:-1]
-            if depth == 1:
-                # Rows with a second word lie with it, not with the first one.
-                new[1:] |= (parts[1][1:] == 0) != (parts[1][:-1] == 0)
-                wanted = parts[1] == 0
-            else:
-                wanted = part != 0
-            start = np.flatnonzero(new)
-            total = np.add.reduceat(n, start)
-            keep = wanted[start] & (total >= least)
-            if depth == 1:
-                keep |= wanted[start] & batch.column("word").is_null().to_numpy(zero_copy_only=False)[start]
-            elif depth == 2:
-                keep |= wanted[start] & slots.hot(_pair(parts[0][start], part[start]))
-            start, total = start[keep], total[keep]
-            paths = np.stack([p[start] for p in parts[:depth]], axis=1).ravel().view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(start) + 1) * depth, pa.int32()), pa.array(paths))
-            at = pa.array(start)
-            named = [batch.column(c).take(at) for c in ("lang", "word")]
-            yield pa.RecordBatch.from_arrays([lists, pa.array(total), *named], ["path", "n", "lang", "word"])
+def _combined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Suffixes in order, each once."""
+    rows = pa.concat_batches(batches)
+    parts = [rows.column(c).to_numpy() for c in _PARTS]
+    order = np.lexsort(parts[::-1])
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = np.any([p[order][1:] != p[order][:-1] for p in parts], axis=0)
+    start = np.flatnonzero(new)
+    n = np.add.reduceat(rows.column("n").to_numpy()[order], start) if len(start) else np.empty(0, np.int64)
+    rows = rows.take(pa.array(order[start]))
+    return rows.set_column(rows.schema.get_field_index("n"), "n", pa.array(n))
 
+
+def _nodes(rows: pa.RecordBatch, slots: Slots, least: int) -> Iterator[pa.RecordBatch]:
+    """Nodes of the subtrees of a group's suffixes."""
+    if not rows.num_rows:
+        return
+    parts, n = [rows.column(c).to_numpy() for c in _PARTS], rows.column("n").to_numpy()
+    split = slots.hot(_pair(parts[0], parts[1])) & (parts[1] != 0)
+    language = rows.column("word").is_null().to_numpy(zero_copy_only=False) & (parts[1] == 0)
+    new = np.zeros(rows.num_rows, dtype=bool)
+    new[0] = True
+    for depth, part in enumerate(parts, 1):
+        new[1:] |= part[1:] != part[:-1]
+        if depth == 1:
+            # Words are counted by rows of their own; suffixes that go on lie in other groups as well.
+            new[1:] |= (parts[1][1:] == 0) != (parts[1][:-1] == 0)
+        start = np.flatnonzero(new)
+        total = np.add.reduceat(n, start)
+        wanted = (parts[1] == 0) if depth == 1 else part != 0
+        keep = wanted[start] & ((total >= least) | (language if depth == 1 else split)[start])
+        start, total = start[keep], total[keep]
+        paths = np.stack([p[start] for p in parts[:depth]], axis=1).ravel().view(np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(start) + 1) * depth, pa.int32()), pa.array(paths))
+        named = [rows.column(c).take(pa.array(start)) for c in ("lang", "word")]
+        yield pa.RecordBatch.from_arrays([lists, pa.array(total), *named], ["path", "n", "lang", "word"])
+
+
+def _subtrees(shared, least: int):
     def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted by group: one is complete when the next one begins."""
         slots = Slots(*shared.value)
-        rest: pa.RecordBatch | None = None
+        now, rows, size, most = None, [], 0, COMBINE
         for batch in batches:
-            whole = batch if rest is None else pa.concat_batches([rest, batch])
-            keep = arrays.last_run([whole.column(c).to_numpy() for c in _PARTS[:2]])
-            yield from nodes(whole.slice(0, keep), slots)
-            rest = whole.slice(keep)
-        if rest is not None:
-            yield from nodes(rest, slots)
+            for group, blob in zip(batch.column("group").to_pylist(), batch.column("suffixes")):
+                if now is not None and group != now:
+                    yield from _nodes(_combined(rows), slots, least)
+                    rows, size, most = [], 0, COMBINE
+                now = group
+                rows.append(pa.ipc.read_record_batch(blob.as_buffer(), _SUFFIXES))
+                size += rows[-1].num_rows
+                if size >= most:
+                    rows = [_combined(rows)]
+                    size = rows[0].num_rows
+                    most = max(COMBINE, 2 * size)
+        if rows:
+            yield from _nodes(_combined(rows), slots, least)
         arrays.give_back()
 
     return subtrees
@@ -321,7 +355,7 @@ def frequent(
     if not 2 <= longest <= LONGEST or least < 1:
         raise ValueError(f"phrases have 2 to {LONGEST} words and are found at least once")
     shared = docs.sparkSession.sparkContext.broadcast(_slots(docs, least, slot_bits))
-    dealt = _suffixes(docs, shared, longest).repartition("deal").drop("deal").sortWithinPartitions(*_PARTS)
+    dealt = _suffixes(docs, shared, longest).repartition("group").sortWithinPartitions("group")
     parts = stored(dealt.mapInArrow(_subtrees(shared, least), _NODES), "subtrees")
     release(docs.sparkSession)
     named = [F.min(c).alias(c) for c in ("lang", "word")]

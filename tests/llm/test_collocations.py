@@ -68,6 +68,7 @@ def found(spark, rows, **options):
 def test_brute_force(spark, slot_bits, block, monkeypatch):
     """With few slots nothing is ruled out, and crowded pairs are split by their third word."""
     monkeypatch.setattr(collocations, "BLOCK_BYTES", block)
+    monkeypatch.setattr(collocations, "COMBINE", block // 10)
     rows = corpus()
     expected = plain(rows, 5)
     assert len(expected) > 400 and len({r[0] for r in expected}) > 3
@@ -87,7 +88,8 @@ def test_pairs_are_split_when_crowded(spark):
     """One pair makes up most of all pairs; its continuations lie in several tasks."""
     rows = [(" ".join(f"a b c{k % 7}" for k in range(j, j + 60)), "de") for j in range(40)]
     docs = spark.createDataFrame(rows, "text string, lang string")
-    _, flags, crowded = collocations._slots(docs, 5, 16)
+    _, flags, crowded, groups = collocations._slots(docs, 5, 16)
+    assert groups == collocations.LEAST_GROUPS
     assert len(flags) == 2**16 // 8 and 0 < len(crowded) <= 2 * collocations.SHARE
     assert found(spark, rows, least=5) == plain(rows, 5)
 
