@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -16,6 +17,7 @@ from plantmart.contracts import PLANTS, SOURCE, SOURCE_LENGTH, Contract
 from plantmart.functions.casts import contract_projection, overlong
 from plantmart.operators.merge import with_audit_columns
 from plantmart.operators.quality import REQUIRED, check_keys, typed_rules
+from plantmart.plans.ingest import NoRowCount
 from plantmart.sources.raw import RawZone, literal, quoted
 
 OK, UNKNOWN_TABLE, FAILED = 200, 400, 500
@@ -45,11 +47,14 @@ class ReloadResult:
     per_source: dict[str, dict[str, int]] = field(default_factory=dict)
     cut_values: dict[str, dict[str, int]] = field(default_factory=dict)
     message: str = ""
+    # What went wrong after the rows were published; the next run mends it.
+    warnings: list[str] = field(default_factory=list)
 
     def report(self, spark: SparkSession) -> DataFrame:
-        """One row per table, or one row for a run that failed."""
+        """One row per table and per warning, or one row for a run that failed."""
         rows = [(self.run_id, t, "loaded", n, None) for t, n in self.loaded.items()]
         rows += [(self.run_id, t, "skipped", None, "not delivered") for t in self.skipped]
+        rows += [(self.run_id, None, "warning", None, w) for w in self.warnings]
         if self.status != OK:
             rows = [(self.run_id, None, "failed", None, self.message)]
         schema = "run_id string, table_name string, status string, row_count bigint, message string"
@@ -62,6 +67,10 @@ class ReloadResult:
         )
 
 
+def _first_line(error: Exception) -> str:
+    return (str(error).strip().splitlines() or [type(error).__name__])[0]
+
+
 def session_identity(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(
         F.current_user().alias("run_by"), F.current_database().alias("run_database")
@@ -112,12 +121,13 @@ class Warehouse:
     """Tables live in one folder per run; a numbered record names the current folder of each.
 
     Readers follow the highest record. A reload writes only new folders and publishes one record
-    after all of its tables are complete, so a failure leaves the previous load untouched. One
-    writer at a time is assumed; a second one fails on the record number.
+    after all of its tables are complete, so a failure leaves the previous load untouched. The record
+    is the commit, and the only one. One writer at a time is assumed; a second one fails on the record number.
 
-    With ``database``, the current folder of each table is also an external table there, which
-    publishing moves, so other sessions can read the warehouse with SQL. Tables move one after the
-    other; reads that must agree with one another go through :meth:`snapshot`.
+    With ``database``, the current folder of each table is also an external table there, so other
+    sessions can read the warehouse with SQL. The tables follow the record: each changes its location in
+    one step and is never missing, a failure is a warning, and the next run moves what stayed
+    behind. Tables move one after the other; reads that must agree with one another go through :meth:`snapshot`.
     """
 
     def __init__(
@@ -144,29 +154,82 @@ class Warehouse:
         return {name: Published(**entry) for name, entry in tables.items()}
 
     def _publish(self, run_id: str, number: int, tables: Mapping[str, Published]) -> None:
+        """The commit. A store may fail to answer after the record appeared, so that is looked up."""
         record = {"run_id": run_id, "tables": {n: vars(p) for n, p in tables.items()}}
-        storage.publish_text(self.spark, self._record_path(number), json.dumps(record, indent=1))
-        if self.database:
-            self.register()
+        try:
+            storage.publish_text(self.spark, self._record_path(number), json.dumps(record, indent=1))
+        except Exception:
+            if number not in self._records() or self._record(number)["run_id"] != run_id:
+                raise
 
     def qualified(self, table: str) -> str:
         return f"{quoted(self.database)}.{quoted(table)}"
 
-    def register(self) -> None:
-        """Point the external tables to the folders of the current record."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(self.database)} LOCATION {literal(self.base)}")
-        for table, entry in self.published().items():
-            fields = ", ".join(
-                f"{quoted(f.name)} {f.dataType.simpleString()}" for f in self.contracts[table].schema.fields
+    def registered(self) -> dict[str, str | None]:
+        """Where the external tables lie, for those published tables that have one; NULL for what is no table."""
+        names = self.published() if self.database and self.spark.catalog.databaseExists(quoted(self.database)) else ()
+        return {t: self._location(t) for t in names if self.spark.catalog.tableExists(self.qualified(t))}
+
+    def _location(self, table: str) -> str | None:
+        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(table)}")
+        found = details.where("col_name = 'Location'").first()
+        return found.data_type.rstrip("/") if found else None
+
+    def behind(self) -> list[str]:
+        """Published tables whose external table is missing or lies elsewhere than the current record says."""
+        if not self.database:
+            return []
+        found = self.registered()
+        paths = {t: storage.qualified(self.spark, entry.path) for t, entry in self.published().items()}
+        return [table for table, path in paths.items() if found.get(table) != path]
+
+    def register(self, tables: Sequence[str] | None = None) -> list[str]:
+        """Point the external tables to the folders of the current record, and say what could not be moved."""
+        problems: list[str] = []
+        if not self.database:
+            return problems
+        try:
+            self.spark.sql(
+                f"CREATE DATABASE IF NOT EXISTS {quoted(self.database)} LOCATION {literal(self.base)}"
             )
-            name = self.qualified(table)
-            # The files stay: a table with a location of its own is only an entry of the catalog.
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            current = self.published()
+        except Exception as error:  # the rows are published all the same
+            return [f"{self.database} is not registered: {_first_line(error)}"]
+        for table in current if tables is None else tables:
+            try:
+                self._follow(table, current[table].path)
+            except Exception as error:
+                problems.append(f"{table} is not registered: {_first_line(error)}")
+        return problems
+
+    def _follow(self, table: str, path: str) -> None:
+        """Create the external table or change its location: one step of the catalog, and no moment without it.
+
+        The files' folders tell the source, so the entry lists no partitions that would have to follow too.
+        """
+        name, fields = self.qualified(table), self.contracts[table].schema.fields
+        declared = {f.name: f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields}
+        if not self.spark.catalog.tableExists(name):
             self.spark.sql(
-                f"CREATE TABLE {name} ({fields}) USING parquet PARTITIONED BY ({SOURCE}) "
-                f"LOCATION {literal(entry.path)}"
+                f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(declared.values())}) USING parquet LOCATION {literal(path)}"
             )
-            self.spark.catalog.recoverPartitions(name)
+        known = {f.name: f.dataType for f in self.spark.table(name).schema.fields}
+        changed = [f.name for f in fields if f.name in known and known[f.name] != f.dataType]
+        if changed or not set(known) <= set(declared):
+            raise ContractViolation(f"{name} was declared with other columns")
+        if new := [text for column, text in declared.items() if column not in known]:
+            self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+        if self._location(table) != storage.qualified(self.spark, path):
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION {literal(path)}")
+        self.spark.catalog.refreshTable(name)
+
+    def recover(self) -> list[str]:
+        """Move the external tables that an earlier run left behind; what cannot be moved is returned."""
+        try:
+            left = self.behind()
+        except Exception as error:
+            return [f"{self.database} cannot be read: {_first_line(error)}"]
+        return self.register(left) if left else []
 
     def adopt(self, table: str, rows: DataFrame, run_id: str | None = None) -> Published:
         """Publish a table that was written before the audit columns existed; these are NULL then."""
@@ -180,6 +243,7 @@ class Warehouse:
         numbers, current = self._records(), self.published()
         current[table] = Published(path, counts.get["rows"])
         self._publish(run_id, numbers[-1] + 1 if numbers else 1, current)
+        self.register()
         return current[table]
 
     def snapshot(self) -> Snapshot:
@@ -220,7 +284,7 @@ class Warehouse:
             .partitionBy(SOURCE)
             .parquet(path)
         )
-        seen = {name: value or 0 for name, value in counts.get.items()}
+        seen = self._counted(table, counts.get, path)
         missing = {name: seen[f"null_{name}"] for _, name, _ in rules if seen[f"null_{name}"]}
         if missing:
             raise ContractViolation(f"{table}: NULL in required columns {missing}")
@@ -234,6 +298,14 @@ class Warehouse:
         cut = {name: seen[f"cut_{name}"] for name in limited if seen[f"cut_{name}"]}
         return Published(path, seen["rows"]), per_source, cut
 
+    def _counted(self, table: str, metrics: Mapping[str, int | None], path: str) -> dict[str, int]:
+        """The metrics of a write. Without rows Spark may give none; otherwise one that is missing fails the load."""
+        if not metrics or any(value is None for value in metrics.values()):
+            if not read_typed(self.spark, self.contracts[table], path).isEmpty():
+                raise NoRowCount(f"{table}: rows were written, but not counted")
+            return defaultdict(int)
+        return dict(metrics)
+
     def reload(
         self,
         raw_zone: RawZone,
@@ -245,7 +317,8 @@ class Warehouse:
         """Reload all contract tables, or one. Tables never delivered keep their previous rows.
 
         NULL in a required column and a malformed number fail the run; repeated keys do so only
-        under ``strict_keys``.
+        under ``strict_keys``. The external tables follow once the record is published, and a run begins
+        with those that an earlier one left behind; either failing is a warning.
         """
         run_id = run_id or uuid.uuid4().hex
         if table and table != "all" and table not in self.contracts:
@@ -255,6 +328,7 @@ class Warehouse:
         skipped = [t for t in wanted if t not in delivered]
         to_load = [t for t in wanted if t in delivered]
         result = ReloadResult(run_id, OK, skipped=skipped)
+        self.recover()
         numbers = self._records()
         current = self.published()
         try:
@@ -268,12 +342,13 @@ class Warehouse:
             self._publish(run_id, numbers[-1] + 1 if numbers else 1, current)
         except Exception as error:  # whatever went wrong, nothing was published
             return ReloadResult(run_id, FAILED, skipped=skipped, message=str(error))
+        result.warnings = self.register()
         return result
 
     def retire(self, keep: int = 3) -> list[str]:
         """Delete run folders and records that none of the last ``keep`` records needs.
 
-        Folders that are newer than the last record may belong to a load that has not published yet.
+        What external tables still point to stays too. Folders that are newer than the last record may belong to a load that has not published yet.
         """
         numbers = self._records()
         kept = numbers[-keep:]
@@ -282,6 +357,7 @@ class Warehouse:
             record = self._record(number)
             used |= {entry["path"].rsplit("/", 2)[1] for entry in record["tables"].values()}
             used.add(record["run_id"])
+        used |= {location.rsplit("/", 2)[1] for location in self.registered().values() if location}
         runs = {r: f"{self.base}/runs/{r}" for r in storage.child_names(self.spark, f"{self.base}/runs")}
         newest = storage.modified(self.spark, self._record_path(numbers[-1])) if numbers else 0
         gone = [r for r, path in runs.items() if r not in used and storage.modified(self.spark, path) < newest]

@@ -503,3 +503,53 @@ def undelivered_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     require_success(site.reload())
     tables = site.snapshot()
     return check_tables(tables.tables(), site.contracts, size_of=tables.lookup_bytes)
+
+
+@query(
+    "SELECT *, 200 AS first_status, 1 AS first_warnings, 1 AS first_behind, 0 AS later_behind FROM ("
+    + _audited("orders", "o_orderkey")
+    + ") WHERE source = 'FOS' OR o_orderkey % 4 = 0"
+)
+def unregistered_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Somebody's view takes the name of a table: its rows are published, and the next run registers them.
+
+    The second run reloads another table; the first one's rows are then read with SQL.
+    """
+    site = Site(spark, sf_dir)
+    site.deliver_tables("orders", "region")
+    site.loaded("orders")
+    site.deliver(site.table("orders").filter("o_orderkey % 4 = 0"), "DKQ", "orders")
+    site.ingest()
+    warehouse = site.warehouse(site.zones.warehouse_database)
+    spark.sql(f"CREATE DATABASE {site.zones.warehouse_database} LOCATION '{site.zones.warehouse}'")
+    spark.sql(f"CREATE VIEW {warehouse.qualified('orders')} AS SELECT 1 AS one")
+    first = warehouse.reload(site.zone(), "orders")
+    behind = len(warehouse.behind())
+    spark.sql(f"DROP VIEW {warehouse.qualified('orders')}")
+    require_success(warehouse.reload(site.zone(), "region"))
+    later = len(warehouse.behind())
+    said = {"first_status": first.status, "first_warnings": len(first.warnings), "first_behind": behind, "later_behind": later}
+    return spark.table(warehouse.qualified("orders")).withColumns({c: F.lit(n) for c, n in said.items()})
+
+
+@query(
+    "SELECT 'first' AS seen, source, count(*)::BIGINT AS row_count FROM (" + _audited("customer", "c_custkey") + ") GROUP BY 2 "
+    "UNION ALL SELECT 'second', source, count(*)::BIGINT FROM (" + _audited("customer", "c_custkey")
+    + ") WHERE source = 'DKQ' OR c_custkey % 3 = 0 GROUP BY 2"
+)
+def moved_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The external table after each of two loads; it changes its location and is never dropped."""
+    site = Site(spark, sf_dir)
+    site.deliver_tables("customer")
+    site.ingest()
+    warehouse = site.warehouse(site.zones.warehouse_database)
+    seen = []
+    for name in ("first", "second"):
+        require_success(warehouse.reload(site.zone(), "customer"))
+        # Read through the location of this moment: the next load moves the table.
+        rows = spark.read.schema(site.contracts["customer"].schema).parquet(warehouse.registered()["customer"])
+        assert rows.count() == spark.table(warehouse.qualified("customer")).count()
+        seen.append(rows.groupBy(SOURCE).agg(F.count("*").alias("row_count")).withColumn("seen", F.lit(name)))
+        site.deliver(site.table("customer").filter("c_custkey % 2 = 1 AND c_custkey % 3 = 0"), "FOS", "customer")
+        site.ingest()
+    return union_all(seen)

@@ -80,8 +80,8 @@ class Lab:
     def zone(self):
         return RawZone(self.spark, self.zones.processed, self.zones.database)
 
-    def warehouse(self):
-        return Warehouse(self.spark, self.zones.warehouse, self.contracts)
+    def warehouse(self, database=None):
+        return Warehouse(self.spark, self.zones.warehouse, self.contracts, database)
 
     def rows(self, table):
         return self.warehouse().read(table)

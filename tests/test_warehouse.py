@@ -232,3 +232,113 @@ def test_retire_spares_a_load_that_has_not_published(lab):
     os.makedirs(f"{lab.zones.warehouse}/runs/going-on/customer")
     assert lab.warehouse().retire(keep=1) == ["r1"]
     assert sorted(os.listdir(f"{lab.zones.warehouse}/runs")) == ["going-on", "r2"]
+
+
+# Publishing and registering
+
+
+def in_catalog(lab, table="customer"):
+    return sorted(r[0] for r in lab.spark.table(f"{lab.zones.database}_dw.{table}").collect())
+
+
+def catalogued(lab):
+    return lab.warehouse(f"{lab.zones.database}_dw")
+
+
+def load(lab, lines, warehouse, **options):
+    lab.deliver("DKQ", "CUSTOMER", lines)
+    ingest(lab)
+    return warehouse.reload(lab.zone(), "customer", **options)
+
+
+def test_failing_registration_is_a_warning_and_repaired(lab, monkeypatch):
+    warehouse = catalogued(lab)
+    assert load(lab, ["IDENTITY", "C1"], warehouse).warnings == []
+    assert in_catalog(lab) == ["C1"] and warehouse.behind() == []
+
+    def fail(table, path):
+        raise RuntimeError("no catalog today\nsecond line")
+
+    monkeypatch.setattr(warehouse, "_follow", fail)
+    second = load(lab, ["IDENTITY", "C2"], warehouse)
+    assert (second.status, second.loaded) == (200, {"customer": 1})
+    assert second.warnings == ["customer is not registered: no catalog today"]
+    assert [r.message for r in second.report(lab.spark).collect() if r.status == "warning"] == second.warnings
+    # The record counts: readers see the new rows, the external table the old ones, and no run folder goes.
+    assert identities(lab, "customer") == [("DKQ", "C2")] and in_catalog(lab) == ["C1"]
+    assert warehouse.behind() == ["customer"] and warehouse.retire(keep=1) == []
+    monkeypatch.undo()
+    lab.deliver("DKQ", "SAMPLE", DELIVERY["SAMPLE"])
+    ingest(lab)
+    assert warehouse.reload(lab.zone(), "sample").warnings == []
+    assert in_catalog(lab) == ["C2"] and warehouse.behind() == []
+
+
+def test_failing_publish_keeps_the_old_record(lab, monkeypatch):
+    warehouse = catalogued(lab)
+    load(lab, ["IDENTITY", "C1"], warehouse)
+
+    def refuse(*_):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "publish_text", refuse)
+        result = load(lab, ["IDENTITY", "C2"], warehouse)
+    assert (result.status, result.message) == (500, "disk full")
+    assert identities(lab, "customer") == [("DKQ", "C1")] and in_catalog(lab) == ["C1"]
+
+    # The record appears, but the store fails to say so.
+    publish = storage.publish_text
+
+    def silent(*args):
+        publish(*args)
+        raise OSError("connection lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "publish_text", silent)
+        assert load(lab, ["IDENTITY", "C3"], warehouse).status == 200
+    assert identities(lab, "customer") == [("DKQ", "C3")] and in_catalog(lab) == ["C3"]
+
+
+def test_external_tables_are_never_dropped(lab, monkeypatch):
+    said = []
+    run = type(lab.spark).sql
+    monkeypatch.setattr(type(lab.spark), "sql", lambda self, text, *a, **k: said.append(text) or run(self, text, *a, **k))
+    warehouse = catalogued(lab)
+    for lines in (["IDENTITY", "C1"], ["IDENTITY", "C1", "C2"]):
+        load(lab, lines, warehouse)
+    assert in_catalog(lab) == ["C1", "C2"]
+    assert not [text for text in said if "DROP" in text.upper()]
+    assert sum("SET LOCATION" in text for text in said) == 1
+
+
+def test_declared_columns_follow_the_contract(lab):
+    from dataclasses import replace
+
+    from plantmart.contracts import Column, number
+
+    load(lab, ["IDENTITY", "C1"], catalogued(lab))
+    old = lab.contracts["customer"]
+    lab.contracts = {**lab.contracts, "customer": replace(old, columns=(*old.columns, Column("town", "text", 20, required=False)))}
+    assert load(lab, ["IDENTITY,TOWN", "C2,Lyon"], catalogued(lab)).warnings == []
+    row = lab.spark.table(f"{lab.zones.database}_dw.customer").first()
+    assert (row.identity, row.town, row.source) == ("C2", "Lyon", "DKQ")
+    lab.contracts = {**lab.contracts, "customer": replace(old, columns=(number("identity"),))}
+    result = load(lab, ["IDENTITY", "3"], catalogued(lab))
+    assert result.status == 200 and "other columns" in result.warnings[0]
+
+
+def test_withheld_metrics_fail_unless_there_are_no_rows(lab, monkeypatch):
+    from plantmart.plans import warehouse as module
+
+    class Silent(module.Observation):
+        get = property(lambda self: {name: None for name in super(Silent, self).get})
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "Observation", Silent)
+        result = load(lab, ["IDENTITY", "C1"], lab.warehouse())
+        assert result.status == 500 and "not counted" in result.message
+        assert lab.warehouse().published() == {}
+        lab.deliver("DKQ", "CUSTOMER", ["IDENTITY"])
+        ingest(lab)
+        assert lab.warehouse().reload(lab.zone(), "customer").loaded == {"customer": 0}
