@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantmart.llm.storing import stored
+from plantmart.llm.storing import Steps
 
 
 def _fingerprint(links: DataFrame) -> tuple:
@@ -41,9 +41,11 @@ def components(links: DataFrame) -> DataFrame:
     repeated ones do no harm; without links the result is empty.
     """
     low, high = F.least("u", "v"), F.greatest("u", "v")
-    links = stored(links.where("u != v").select(high.alias("u"), low.alias("v")).distinct(), "links")
+    steps = Steps(links.sparkSession)
+    links = steps.store(links.where("u != v").select(high.alias("u"), low.alias("v")).distinct(), "links")
     before = None
     while (now := _fingerprint(links)) != before:
         before = now
-        links = stored(_small_star(_large_star(links)), "links")
+        last, links = links, steps.store(_small_star(_large_star(links)), "links")
+        steps.drop(last)
     return links

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from plantmart.llm import arrays
 from plantmart.llm.components import components
-from plantmart.llm.storing import stored
+from plantmart.llm.storing import stored, unused
 
 SEED = 42
 DISTANCE = 4
@@ -227,11 +227,22 @@ def one_of_each(docs: DataFrame, size: int = 4, distance: int = DISTANCE) -> Dat
     return only(docs, kept)
 
 
+def identity(doc_id: Column, text_hash: Column) -> list[Column]:
+    """Two hashes that tell documents apart: of the text, and of it with the id; neither is ever NULL."""
+    return [text_hash, F.xxhash64(doc_id.cast("bigint"), text_hash)]
+
+
 def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """Of the documents those that `kept` names by doc_id and hash of the text, each once."""
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_hash"))
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("hash").alias("kept_hash"))
-    # What is kept grows with the documents, so it is merged with them and not broadcast.
-    found = docs.join(kept.hint("merge"), same)
-    place = F.row_number().over(Window.partitionBy("kept_id", "kept_hash").orderBy("kept_id"))
-    return found.withColumn("_place", place).where("_place = 1").select(*[docs[c] for c in docs.columns])
+    columns = docs.columns
+    own = [unused(c, columns) for c in ("own_hash", "own_id")]
+    wanted = [unused(c, columns) for c in ("kept_hash", "kept_id")]
+    place = unused("place", columns)
+    marked = docs.withColumns(dict(zip(own, identity(docs["doc_id"], F.xxhash64(docs["text"])))))
+    named = kept.select(*[c.alias(name) for c, name in zip(identity(kept["doc_id"], kept["hash"]), wanted)])
+    same = (F.col(own[0]) == F.col(wanted[0])) & (F.col(own[1]) == F.col(wanted[1]))
+    # What is kept grows with the documents, so it is merged with them and not broadcast. Rows that agree in
+    # both hashes are one document given several times; the join brings them together.
+    found = marked.join(named.hint("merge"), same)
+    first = F.row_number().over(Window.partitionBy(*own).orderBy(own[0]))
+    return found.withColumn(place, first).where(F.col(place) == 1).drop(*own, *wanted, place)

@@ -6,14 +6,13 @@ import gc
 
 from pyspark.sql import DataFrame
 
+from plantmart import storage
 from plantmart.session import new_folder
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """The rows, written once to the shared folder and read from there."""
-    folder = new_folder(rows.sparkSession, purpose)
-    rows.write.parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    return Steps(rows.sparkSession).store(rows, purpose)
 
 
 def release(spark) -> None:
@@ -24,3 +23,38 @@ def release(spark) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+class Steps:
+    """Stored steps of one computation, of which those go that later ones no longer read."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.folders: dict[int, tuple[DataFrame, str]] = {}
+
+    def store(self, rows: DataFrame, purpose: str) -> DataFrame:
+        folder = new_folder(self.spark, purpose)
+        rows.write.parquet(folder)
+        found = rows.sparkSession.read.schema(rows.schema).parquet(folder)
+        self.folders[id(found)] = (found, folder)
+        return found
+
+    def drop(self, *steps: DataFrame | None) -> None:
+        """Delete what was stored; nothing that is still to be computed may read it."""
+        for rows in steps:
+            if rows is not None and id(rows) in self.folders:
+                storage.delete(self.spark, self.folders.pop(id(rows))[1])
+
+    def keep_only(self, *steps: DataFrame | None) -> None:
+        """Delete all steps but these, and the shuffle files behind them."""
+        kept = {id(rows) for rows in steps}
+        self.drop(*[rows for key, (rows, _) in self.folders.items() if key not in kept])
+        release(self.spark)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """A column name that none of the columns has, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
