@@ -1,4 +1,8 @@
-"""Replica vault: landed files kept byte for byte, in chunks, replaced file by file."""
+"""Replica vault: landed files kept byte for byte, in chunks, replaced file by file.
+
+Every chunk has a SHA-256 digest, and a file has the root of a hash tree over them. So ranges of a file, in a store or
+in the vault, are digested by many tasks, each on its own, and two files are equal if their roots are.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +19,8 @@ from plantmart.sources.stores import ARROW_SCHEMES, arrow_uri
 
 CHUNK_BYTES = 8 << 20
 TASK_BYTES = 256 << 20
+# Digests under one node of the hash tree.
+FAN = 1024
 
 _SCHEMA = (
     "source string, file string, part string, modified timestamp, part_bytes bigint, "
@@ -45,6 +51,96 @@ def _chunk_reader():
     return read_chunks
 
 
+def _range_digester():
+    """A local function travels to the executors by value, so they need not have this package."""
+
+    def digest_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The digest of each listed range; one chunk is in memory at a time and none leaves the task."""
+        import hashlib
+
+        from pyarrow import fs
+
+        for batch in batches:
+            digests = []
+            for row in batch.to_pylist():
+                store, path = fs.FileSystem.from_uri(row["uri"])
+                with store.open_input_file(path) as handle:
+                    content = handle.read_at(row["chunk_bytes"], row["chunk_start"])
+                digests.append(hashlib.sha256(content).hexdigest())
+            kept = [batch.column(c) for c in ("path", "bytes", "chunk_no")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(digests, pa.string())], ["path", "bytes", "chunk_no", "digest"])
+
+    return digest_ranges
+
+
+def file_digests(files: DataFrame, chunk_bytes: int = CHUNK_BYTES, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """path, bytes and root digest of each file, read where it lies; `files` needs path and length.
+
+    Ranges are dealt to tasks, so a huge file is read by many.
+    """
+    total = files.agg(F.sum("length")).first()[0] or 0
+    zero, step = F.lit(0).cast("bigint"), F.lit(chunk_bytes).cast("bigint")
+    ranges = files.select(
+        "path",
+        F.col("length").alias("bytes"),
+        _uri(F.col("path")).alias("uri"),
+        F.posexplode(F.sequence(zero, F.greatest(F.col("length") - 1, zero), step)).alias("chunk_no", "chunk_start"),
+    ).withColumns(
+        {"chunk_bytes": F.least(step, F.col("bytes") - F.col("chunk_start")), "chunk_no": F.col("chunk_no").cast("bigint")}
+    )
+    tasks = max(1, math.ceil(total / task_bytes), min(files.sparkSession.sparkContext.defaultParallelism, math.ceil(total / chunk_bytes)))
+    dealt = ranges.repartition(tasks, F.xxhash64("path", "chunk_start"))
+    digests = dealt.mapInArrow(_range_digester(), "path string, bytes bigint, chunk_no bigint, digest string")
+    return tree_roots(digests, ["path"])
+
+
+def vault_digests(vault: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """source, file, part, bytes and root digest of each vaulted file, from the content that is there.
+
+    A file with a chunk missing, repeated or of a wrong length has a NULL digest.
+    """
+    step = F.lit(chunk_bytes).cast("bigint")
+    place = F.col("chunk_start") / step
+    chunks = vault.select(
+        "source", "file", "part", F.col("part_bytes").alias("bytes"), place.cast("bigint").alias("chunk_no"),
+        F.sha2("content", 256).alias("digest"), (F.col("chunk_start") % step == 0).alias("aligned"),
+        F.octet_length("content").alias("size"),
+    )
+    key = ["source", "file", "part"]
+    whole = chunks.groupBy(*key, "bytes").agg(
+        F.count("*").alias("found"), F.sum("size").alias("sum"), F.bool_and("aligned").alias("aligned"),
+        F.max("chunk_no").alias("last"), F.count_distinct("chunk_no").alias("distinct"),
+    )
+    complete = (
+        F.col("aligned") & (F.col("sum") == F.col("bytes")) & (F.col("found") == F.col("last") + 1)
+        & (F.col("distinct") == F.col("found"))
+    )
+    roots = tree_roots(chunks.select(*key, "bytes", "chunk_no", "digest"), key)
+    judged = whole.select(*key, complete.alias("complete"))
+    checked = roots.join(judged, key)
+    return checked.select(*key, "bytes", F.when(F.col("complete"), F.col("digest")).alias("digest"))
+
+
+def tree_roots(chunks: DataFrame, key: list[str]) -> DataFrame:
+    """The key, bytes and root of each file, from one row for each chunk: key, bytes, chunk_no, digest.
+
+    A node is the digest of up to FAN digests below it, so no group has more rows, however long a file is. All
+    files have as many levels as the longest needs; the length is part of the root.
+    """
+    last = chunks.agg(F.max("chunk_no")).first()[0] or 0
+    nodes = chunks.select(*key, "bytes", F.col("chunk_no").cast("bigint").alias("no"), "digest")
+    while True:
+        below = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("no", "digest"))), lambda x: x.digest), "")
+        above = F.floor(F.col("no") / FAN).cast("bigint")
+        nodes = nodes.withColumn("above", above).groupBy(*key, "bytes", "above").agg(F.sha2(below, 256).alias("digest"))
+        nodes = nodes.withColumnRenamed("above", "no")
+        if last < FAN:
+            break
+        last //= FAN
+    root = F.sha2(F.concat_ws(":", "bytes", "digest"), 256)
+    return nodes.select(*key, "bytes", root.alias("digest"))
+
+
 def _uri(path: Column) -> Column:
     """arrow_uri() as a column expression, for listed paths of known stores."""
     found = F.when(path.startswith("/"), path).when(

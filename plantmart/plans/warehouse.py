@@ -67,8 +67,10 @@ class ReloadResult:
         )
 
 
-def _first_line(error: Exception) -> str:
-    return (str(error).strip().splitlines() or [type(error).__name__])[0]
+def reason_of(error: Exception) -> str:
+    """What an error says in one line; one of the JVM says so behind the call that it interrupted."""
+    lines = str(error).strip().splitlines() or [type(error).__name__]
+    return lines[1].lstrip(": ") if lines[0].startswith("An error occurred while calling") and lines[1:] else lines[0]
 
 
 def session_identity(spark: SparkSession) -> DataFrame:
@@ -194,12 +196,12 @@ class Warehouse:
             )
             current = self.published()
         except Exception as error:  # the rows are published all the same
-            return [f"{self.database} is not registered: {_first_line(error)}"]
+            return [f"{self.database} is not registered: {reason_of(error)}"]
         for table in current if tables is None else tables:
             try:
                 self._follow(table, current[table].path)
             except Exception as error:
-                problems.append(f"{table} is not registered: {_first_line(error)}")
+                problems.append(f"{table} is not registered: {reason_of(error)}")
         return problems
 
     def _follow(self, table: str, path: str) -> None:
@@ -228,7 +230,7 @@ class Warehouse:
         try:
             left = self.behind()
         except Exception as error:
-            return [f"{self.database} cannot be read: {_first_line(error)}"]
+            return [f"{self.database} cannot be read: {reason_of(error)}"]
         return self.register(left) if left else []
 
     def adopt(self, table: str, rows: DataFrame, run_id: str | None = None) -> Published:

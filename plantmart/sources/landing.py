@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,11 @@ CONFIG_SCHEMA = T.StructType(
 )
 
 FILES_SCHEMA = "path string, length bigint, modificationTime timestamp"
+FOLDER, FILE = "folder", "file"
+_LISTED_SCHEMA = "path string, uri string, length bigint, modificationTime timestamp, kind string"
+# Tasks that list the folders of one level, and rows that a task passes on at once.
+LISTINGS_PER_CORE = 4
+LISTED_AT_ONCE = 10_000
 
 # What the ingestion and the vault expect of one manifest entry.
 MANIFEST_SCHEMA = T.StructType(
@@ -97,49 +103,68 @@ class Zones:
 def discover(spark: SparkSession, base: str) -> DataFrame:
     """Every file below the landed base, listed once; the file contents are not read.
 
-    Each folder directly below the base is listed by a task of its own, so tasks follow folders and
-    not bytes. The listing is written to the shared folder, and all that need it read it there.
+    Folders are listed level by level. Those of a level are dealt to tasks anew, whatever folder they lie in,
+    so a source with most of the files is listed by many tasks; a single folder is one call of its store.
+    The driver counts the folders of a level and sees none of them. The listing is written to the
+    shared folder, and all that need it read it there.
     """
     if not storage.exists(spark, base):
         return spark.createDataFrame([], FILES_SCHEMA)
     root = storage.qualified(spark, base).rstrip("/")
-    folders = [(root, arrow_uri(root), False)]
-    folders += [(path, arrow_uri(path), True) for path in storage.child_folders(spark, base)]
-    wanted = spark.createDataFrame(folders, "folder string, uri string, deep boolean")
     target = new_folder(spark, "listing")
-    wanted.repartition(len(folders)).mapInArrow(_lister(), FILES_SCHEMA).write.parquet(target)
-    return spark.read.schema(FILES_SCHEMA).parquet(target)
+    level = spark.createDataFrame([(root, arrow_uri(root))], "folder string, uri string")
+    most = LISTINGS_PER_CORE * spark.sparkContext.defaultParallelism
+    depth, folders = 0, 1
+    while folders:
+        # Dealt by a hash of the name: neighbours in the tree, which may be equally large, part.
+        dealt = level.repartition(min(folders, most), F.xxhash64("folder"))
+        place = f"{target}/level={depth:04d}"
+        dealt.mapInArrow(_lister(), _LISTED_SCHEMA).write.partitionBy("kind").parquet(place)
+        listed = spark.read.schema(_LISTED_SCHEMA).parquet(place)
+        level = listed.where(F.col("kind") == FOLDER).select(F.col("path").alias("folder"), "uri")
+        depth, folders = depth + 1, level.count()
+    listed = spark.read.schema(f"{_LISTED_SCHEMA}, level string").parquet(target)
+    return listed.where(F.col("kind") == FILE).select("path", "length", "modificationTime")
 
 
 def _lister():
     """A local function travels to the executors by value, so they need not have this package."""
+    most, folder_kind, file_kind = LISTED_AT_ONCE, FOLDER, FILE
 
-    def hidden(name: str) -> bool:
-        return name.startswith(".") or (name.startswith("_") and "=" not in name)
-
-    def list_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Path, length and time of each visible file, as Spark's own file scans spell and choose them."""
+    def list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The visible files and folders in each folder, as Spark's own file scans spell and choose them."""
         from pyarrow import fs
 
         for batch in batches:
             for row in batch.to_pylist():
-                folder = row["folder"].rstrip("/")
                 store, path = fs.FileSystem.from_uri(row["uri"])
-                path = path.rstrip("/")
-                if hidden(folder.rsplit("/", 1)[1]) and row["deep"]:
-                    continue
                 found = []
-                for info in store.get_file_info(fs.FileSelector(path, recursive=row["deep"])):
-                    name = info.path[len(path):]
-                    if info.type == fs.FileType.File and not any(map(hidden, name.strip("/").split("/"))):
-                        found.append((folder + name, info.size, info.mtime_ns // 1000))
-                paths, lengths, times = zip(*found) if found else ((), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(paths, pa.string()), pa.array(lengths, pa.int64()), pa.array(times, pa.timestamp("us", "UTC"))],
-                    ["path", "length", "modificationTime"],
-                )
-
-    return list_files
+                for info in store.get_file_info(fs.FileSelector(path.rstrip("/"))):
+                    name = info.base_name
+                    if name.startswith(".") or (name.startswith("_") and "=" not in name):
+                        continue
+                    if info.type == fs.FileType.File:
+                        found.append((f"{row['folder']}/{name}", None, info.size, info.mtime_ns // 1000, file_kind))
+                    elif info.type == fs.FileType.Directory:
+                        uri = f"{row['uri'].rstrip('/')}/{name if row['uri'].startswith('/') else quote(name)}"
+                        found.append((f"{row['folder']}/{name}", uri, None, None, folder_kind))
+                for at in range(0, len(found), most):
+                    columns = list(zip(*found[at : at + most]))
+                    types = (pa.string(), pa.string(), pa.int64(), pa.timestamp("us", "UTC"), pa.string())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(columns, types)],
+                        ["path", "uri", "length", "modificationTime", "kind"],
+                    )
+
+    return list_folders
+
+
+def versions(files: DataFrame) -> DataFrame:
+    """path and version of each extract: equal as long as its files keep names, lengths and times of change."""
+    one = F.xxhash64("path", "length", "modificationTime")
+    return files.groupBy(names.extract_path(F.col("path")).alias("path")).agg(
+        F.concat_ws("-", F.count("*"), F.sum("length"), F.lower(F.hex(F.bit_xor(one)))).alias("version")
+    )
 
 
 def read_configs(spark: SparkSession, folder: str) -> DataFrame:

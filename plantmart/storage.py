@@ -44,12 +44,6 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(target).toString()
 
 
-def child_folders(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the folders in a folder."""
-    fs, target = _resolve(spark, path)
-    return sorted(s.getPath().toString() for s in fs.listStatus(target) if s.isDirectory())
-
-
 def read_text(spark: SparkSession, path: str) -> str:
     fs, target = _resolve(spark, path)
     stream = fs.open(target)

@@ -9,12 +9,15 @@ from plantmart import storage
 from plantmart.contracts import LOADED_AT, PLANTS, SOURCE
 from plantmart.operators.merge import union_all
 from plantmart.operators.quality import check_tables, rows_per_source
-from plantmart.plans.vault import replicate, restore
+from plantmart.plans.backfill import BackfillBroken, backfill
+from plantmart.plans.daily_run import write_configs
+from plantmart.plans.vault import file_digests, replicate, restore, vault_digests
 from plantmart.plans.warehouse import LoadFailed, require_success
 from plantmart.sources.delimited import Layout
+from plantmart.sources.landing import discover
 from reconcile.registry import query
 from reconcile.reports import report_sql
-from reconcile.site import LOADED_SQL, Site, exact_sum, exact_sum_sql, plant, plant_sql
+from reconcile.site import LOADED, LOADED_SQL, Site, exact_sum, exact_sum_sql, plant, plant_sql
 from reconcile.tables import TEST_TABLES, limited, renamed
 
 _LINEITEM_COLUMNS = (
@@ -241,34 +244,52 @@ def failed_reload_keeps_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, {plant_sql(k)} AS source, count(*)::BIGINT AS row_count, true AS same_bytes "
-        f"FROM {t} GROUP BY 2"
+        f"SELECT '{t}' AS table_name, {plant_sql(k)} AS source, count(*)::BIGINT AS row_count, "
+        f"true AS vault_equal, true AS restored_equal, 64 AS digest_digits FROM {t} GROUP BY 2"
         for t, k in (("customer", "c_custkey"), ("part", "p_partkey"))
     )
 )
 def replica_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records counted in the restored files, after replicating twice."""
+    """Records counted in the restored files, after replicating twice.
+
+    Each landed file, its copy in the vault and the restored file have the same root digest.
+    """
     site = Site(spark, sf_dir)
     for table in ("customer", "part"):
         key = site.contracts[table].key[0]
         site.deliver_by_plant(site.table(table), key, table, extension=".csv")
     landing = site.survey()
     total = sum(e.delivery.bytes for e in landing.entries)
+    chunk = 10_000
     for _ in range(2):
-        replicate(landing.files, landing.accepted, site.zones.replicated, total, chunk_bytes=10_000)
+        replicate(landing.files, landing.accepted, site.zones.replicated, total, chunk_bytes=chunk)
     restored = f"{site.root}/restored"
-    files = restore(spark, site.zones.replicated, restored)
+    restore(spark, site.zones.replicated, restored)
+
+    def digests(files: DataFrame, root: str, name: str) -> DataFrame:
+        """Root digests by source, file and part, which are the folders below the root."""
+        below = F.split(F.regexp_extract("path", f"/{root}/(.+)$", 1), "/")
+        parts = [below[i].alias(c) for i, c in enumerate(("source", "file", "part"))]
+        return file_digests(files, chunk).select(*parts, "bytes", F.col("digest").alias(name))
+
+    key = ["source", "file", "part"]
+    files = digests(landing.files, "landed", "landed").join(
+        vault_digests(spark.read.parquet(site.zones.replicated), chunk).select(*key, F.col("digest").alias("vault")), key, "full"
+    ).join(digests(discover(spark, restored), "restored", "restored").drop("bytes"), key, "full")
+    compared = files.groupBy("source", "file").agg(
+        F.bool_and(F.col("vault").eqNullSafe(F.col("landed"))).alias("vault_equal"),
+        F.bool_and(F.col("restored").eqNullSafe(F.col("landed"))).alias("restored_equal"),
+        F.max(F.length("landed")).alias("digest_digits"),
+        # Every part file has a header line.
+        F.count_if(F.col("bytes") > 0).alias("heads"),
+    )
     lines = spark.read.option("recursiveFileLookup", True).text(restored).groupBy(
         F.regexp_extract("_metadata.file_path", "/restored/([^/]+)/([^/]+)", 1).alias("source"),
         F.regexp_extract("_metadata.file_path", "/restored/([^/]+)/([^/]+)", 2).alias("file"),
     ).agg(F.count("*").alias("lines"))
-    # Every part file has a header line.
-    heads = files.filter("bytes > 0").groupBy("source", "file").agg(F.count("*").alias("heads"))
-    landed = landing.files.agg(F.sum("length")).first()[0]
-    same_bytes = files.agg(F.sum("bytes")).first()[0] == landed
-    return lines.join(heads, ["source", "file"]).select(
+    return lines.join(compared, ["source", "file"]).select(
         F.lower(F.regexp_extract("file", "^([A-Z]+)_", 1)).alias("table_name"), "source",
-        (F.col("lines") - F.col("heads")).alias("row_count"), F.lit(same_bytes).alias("same_bytes"),
+        (F.col("lines") - F.col("heads")).alias("row_count"), "vault_equal", "restored_equal", "digest_digits",
     )
 
 
@@ -553,3 +574,44 @@ def moved_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         site.deliver(site.table("customer").filter("c_custkey % 2 = 1 AND c_custkey % 3 = 0"), "FOS", "customer")
         site.ingest()
     return union_all(seen)
+
+
+_HISTORY = {"customer": "c_custkey", "orders": "o_orderkey", "part": "p_partkey"}
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {plant_sql(k)} AS source, count(*)::BIGINT AS row_count, "
+        f"CASE WHEN '{t}' = 'part' AND {plant_sql(k)} = 'FOS' THEN 'broken' ELSE 'ingested' END AS first_run, "
+        f"CASE WHEN '{t}' = 'part' AND {plant_sql(k)} = 'FOS' THEN 'ingested' ELSE 'carried' END AS second_run, "
+        f"true AS nothing_before FROM {t} GROUP BY ALL"
+        for t, k in _HISTORY.items()
+    )
+)
+def resumed_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full historical load breaks at one extract of six; the next run reads that one only, then reloads.
+
+    Before it, the warehouse has no rows at all. Carried extracts keep their time of load.
+    """
+    site = Site(spark, sf_dir)
+    for table, key in _HISTORY.items():
+        site.deliver_by_plant(site.table(table), key, table, parts=2)
+    extract = f"{site.zones.landed}/FOS/PART_prod_extract.csv.gz/part-broken.csv.gz"
+    storage.write_text(spark, extract, "this is no gzip")
+    write_configs(spark, site.zones.configs, site.settings)
+    try:
+        backfill(spark, site.zones, site.contracts, loaded_at=LOADED)
+        raise AssertionError("a broken extract was loaded")
+    except BackfillBroken as broken:
+        first = broken.result
+    nothing = not site.warehouse().published()
+    storage.delete(spark, extract)
+    second = backfill(spark, site.zones, site.contracts, loaded_at=LOADED)
+    runs = [
+        run.report(spark).select("table_name", SOURCE, F.col("outcome").alias(name))
+        for run, name in ((first, "first_run"), (second, "second_run"))
+    ]
+    tables = site.snapshot().tables()
+    counted = union_all([rows_per_source(rows, name).drop("unknown_source_rows") for name, rows in tables.items()])
+    joined = counted.join(runs[0], ["table_name", SOURCE]).join(runs[1], ["table_name", SOURCE])
+    return joined.withColumn("nothing_before", F.lit(nothing))

@@ -113,3 +113,45 @@ def test_discovery_prunes_content(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x")
     plan = discover(spark, str(tmp_path)).select(F.col("path"))._jdf.queryExecution().executedPlan().toString()
     assert plan.rstrip().endswith("ReadSchema: struct<path:string>")
+
+
+def test_a_large_source_is_listed_by_several_tasks(spark, tmp_path, monkeypatch):
+    """Nearly all files lie below one source, in folders of their own and deeper."""
+    from plantmart.sources import landing
+
+    monkeypatch.setattr(landing, "LISTED_AT_ONCE", 3)
+    expected = []
+    for k in range(40):
+        folder = tmp_path / "DKQ" / f"T{k}.csv" / ("x" if k % 2 else ".")
+        folder.mkdir(parents=True)
+        for part in range(7):
+            (folder / f"part-{part}.csv").write_text("x" * part)
+            expected.append((str((folder / f"part-{part}.csv").resolve()), part))
+    (tmp_path / "FOS").mkdir()
+    (tmp_path / "FOS" / "A.csv").write_text("x")
+    (tmp_path / "DKQ" / "_hidden").mkdir()
+    (tmp_path / "DKQ" / "_hidden" / "B.csv").write_text("x")
+    files = discover(spark, str(tmp_path))
+    found = sorted((r.path.removeprefix("file:"), r.length) for r in files.collect())
+    assert found == sorted([*expected, (str(tmp_path / "FOS" / "A.csv"), 1)])
+    # Each task of a level has written a file of its own.
+    written = [r[0] for r in files.where(F.col("path").contains("/DKQ/")).select(F.input_file_name()).distinct().collect()]
+    assert len(written) > 6
+
+
+def test_versions_follow_names_lengths_and_times(spark, tmp_path):
+    from plantmart.sources.landing import versions
+
+    rows = [("s3://in/landed/DKQ/A.csv/part-0.csv", 5, 1), ("s3://in/landed/DKQ/A.csv/part-1.csv", 5, 1), ("s3://in/landed/FOS/A.csv", 9, 2)]
+
+    def of(rows):
+        frame = spark.createDataFrame(rows, "path string, length bigint, t bigint")
+        frame = frame.withColumn("modificationTime", F.timestamp_seconds("t"))
+        return {r.path: r.version for r in versions(frame).collect()}
+
+    first = of(rows)
+    assert first == of(rows[::-1]) and set(first) == {"s3://in/landed/DKQ/A.csv", "s3://in/landed/FOS/A.csv"}
+    for changed in ((rows[0][0], 6, 1), (rows[0][0], 5, 2), (rows[0][0] + "x.csv", 5, 1)):
+        second = of([changed, *rows[1:]])
+        assert second["s3://in/landed/DKQ/A.csv"] != first["s3://in/landed/DKQ/A.csv"]
+        assert second["s3://in/landed/FOS/A.csv"] == first["s3://in/landed/FOS/A.csv"]
