@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from plantmart import session, storage
 from plantmart.contracts import Contract
-from plantmart.plans.daily_run import FILES_AT_ONCE, survey_landing
+from plantmart.plans.daily_run import FILES_AT_ONCE, ledger_of, survey_landing
 from plantmart.plans.ingest import ingest_table
-from plantmart.plans.ledger import Finished, Ledger
+from plantmart.plans.ledger import Bookkeeping
 from plantmart.plans.vault import replicate
 from plantmart.plans.warehouse import ReloadResult, Warehouse, reason_of, require_success
-from plantmart.sources.landing import Zones, versions
+from plantmart.sources.landing import Zones
 from plantmart.sources.raw import RawZone
 from plantmart.sources.stores import arrow_uri
 
@@ -57,25 +57,14 @@ class BackfillBroken(Exception):
                          f"{broken[0].source}: {broken[0].message}")
 
 
-def ledger_of(spark: SparkSession, zones: Zones) -> Ledger:
-    return Ledger(spark, f"{zones.warehouse}/ledger")
-
-
-def still_valid(entry: Row, version: str, finished: Mapping[tuple[str, str], Finished], zone: RawZone) -> bool:
-    """Whether the raw zone holds exactly this extract."""
-    table, source = entry.job.target_table, entry.job.source_system
-    known = finished.get((table, source))
-    return known is not None and known.version == version and source in zone.sources(table)
-
-
 def _load_extract(
-    zone: RawZone, ledger: Ledger, entry: Row, version: str, contract: Contract | None, loaded_at: datetime
+    zone: RawZone, book: Bookkeeping, entry: Row, contract: Contract | None, loaded_at: datetime
 ) -> Outcome:
     """Ingest one extract and record it."""
     table, source = entry.job.target_table, entry.job.source_system
     try:
         (done,) = ingest_table(zone, table, [entry], loaded_at, contract)
-        ledger.finish(table, source, version, done.rows, done.malformed, loaded_at)
+        book.finish(table, source, done.rows, done.malformed, loaded_at)
     except Exception as error:  # the others go on
         return Outcome(table, source, BROKEN, None, reason_of(error))
     return Outcome(table, source, INGESTED, done.rows)
@@ -103,14 +92,10 @@ def backfill(
     zone = RawZone(spark, zones.processed, zones.database)
     zone.recover()
     landing = survey_landing(spark, zones)
-    ledger = ledger_of(spark, zones)
-    finished = ledger.finished()
-    version = {r.path: r.version for r in versions(landing.files).collect()}
     entries = sorted(landing.entries, key=lambda e: (e.job.target_table, e.job.source_system))
-    now = {e: version[e.job.source_path] for e in entries}
-    pending = [e for e in entries if not still_valid(e, now[e], finished, zone)]
-    for entry in pending:
-        ledger.begin(entry.job.target_table, entry.job.source_system)
+    book = Bookkeeping(ledger_of(spark, zones), zone, landing.files, entries)
+    pending = [e for e in entries if not book.holds(e)]
+    book.begin(pending)
     if pending:
         # One job copies all that is new, before any of it is recorded.
         paths = spark.createDataFrame([(e.job.source_path,) for e in pending], "wanted string")
@@ -125,9 +110,9 @@ def backfill(
         for entry in entries:
             table, source = entry.job.target_table, entry.job.source_system
             if entry in pending:
-                outcomes.append(_load_extract(zone, ledger, entry, now[entry], contracts.get(table), loaded_at))
+                outcomes.append(_load_extract(zone, book, entry, contracts.get(table), loaded_at))
             else:
-                outcomes.append(Outcome(table, source, CARRIED, finished[table, source].rows))
+                outcomes.append(Outcome(table, source, CARRIED, book.finished[table, source].rows))
         return outcomes
 
     with ThreadPoolExecutor(max_workers=FILES_AT_ONCE) as pool:
@@ -136,5 +121,7 @@ def backfill(
     if any(o.outcome == BROKEN for o in result.outcomes):
         raise BackfillBroken(result)
     warehouse = Warehouse(spark, zones.warehouse, contracts, zones.warehouse_database)
-    result.reload = require_success(warehouse.reload(zone, run_id=run_id or uuid.uuid4().hex, strict_keys=strict_keys))
+    run_id = run_id or uuid.uuid4().hex
+    states = book.states(list(contracts))
+    result.reload = require_success(warehouse.reload(zone, run_id=run_id, strict_keys=strict_keys, states=states))
     return result

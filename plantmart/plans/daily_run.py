@@ -7,7 +7,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from plantmart import session, storage
 from plantmart.contracts import Contract
 from plantmart.plans.ingest import Ingested, ingest_table
+from plantmart.plans.ledger import Bookkeeping, Ledger
 from plantmart.plans.vault import replicate
 from plantmart.plans.warehouse import ReloadResult, Warehouse, require_success
 from plantmart.sources.landing import (
@@ -42,6 +43,8 @@ class RunResult:
     rejected: DataFrame
     ingested: list[Ingested]
     reload: ReloadResult
+    # Extracts (table, source) that the raw zone held already and that were not read again.
+    carried: list[tuple[str, str]] = field(default_factory=list)
 
     def report(self) -> DataFrame:
         """The reload's report, and a row for each extract that was not accepted, with the reason."""
@@ -98,6 +101,7 @@ def daily_run(
     loaded_at: datetime | None = None,
     run_id: str | None = None,
     strict_keys: bool = False,
+    carry_unchanged: bool = False,
 ) -> RunResult:
     """One run. A failing extract stops it before the reload, a failing reload fails the run.
 
@@ -105,6 +109,10 @@ def daily_run(
 
     With nothing landed the reload still republishes what was ingested before. What was not accepted
     is kept, with the reason, under the run's name.
+
+    Every extract is read and every table rewritten, so all rows carry the time of this run. With
+    ``carry_unchanged``, an extract whose files the ledger knows is not read, and a table whose extracts are
+    all known keeps its published folder; their rows keep the time of the run that read them last.
     """
     spark = session.configure(spark)
     for place in (zones.landed, zones.replicated):
@@ -116,16 +124,33 @@ def daily_run(
     landing = survey_landing(spark, zones)
     rejected = f"{zones.warehouse}/rejects/{run_id}"
     rejects(landing.routed).write.parquet(rejected)
+    book = Bookkeeping(ledger_of(spark, zones), zone, landing.files, landing.entries)
+    pending = [e for e in landing.entries if not (carry_unchanged and book.holds(e))]
+    carried = [(e.job.target_table, e.job.source_system) for e in landing.entries if e not in pending]
+    book.begin(pending)
     ingested: list[Ingested] = []
-    if landing.entries:
-        total = sum(entry.delivery.bytes for entry in landing.entries)
+    if pending:
+        total = sum(entry.delivery.bytes for entry in pending)
+        accepted = landing.accepted
+        if carried:
+            paths = spark.createDataFrame([(e.job.source_path,) for e in pending], "wanted string")
+            accepted = accepted.join(paths, F.col("job.source_path") == F.col("wanted"), "left_semi")
         with ThreadPoolExecutor(max_workers=1) as pool:
-            copied = pool.submit(replicate, landing.files, landing.accepted, zones.replicated, total)
-            ingested = ingest_landing(zone, landing, contracts, loaded_at)
+            copied = pool.submit(replicate, landing.files, accepted, zones.replicated, total)
+            ingested = ingest_landing(zone, replace(landing, entries=pending), contracts, loaded_at)
             copied.result()
+        # Recorded once they are copied too.
+        for done in ingested:
+            book.finish(done.table, done.source, done.rows, done.malformed, loaded_at)
     warehouse = Warehouse(spark, zones.warehouse, contracts, zones.warehouse_database)
-    result = require_success(warehouse.reload(zone, table, run_id, strict_keys))
-    return RunResult(spark.read.schema(REJECTS_SCHEMA).parquet(rejected), ingested, result)
+    states = book.states(list(contracts))
+    reloaded = warehouse.reload(zone, table, run_id, strict_keys, states=states, carry_unchanged=carry_unchanged)
+    result = require_success(reloaded)
+    return RunResult(spark.read.schema(REJECTS_SCHEMA).parquet(rejected), ingested, result, carried)
+
+
+def ledger_of(spark: SparkSession, zones: Zones) -> Ledger:
+    return Ledger(spark, f"{zones.warehouse}/ledger")
 
 
 def write_configs(spark: SparkSession, folder: str, settings: Mapping[str, Mapping[str, str]]) -> None:

@@ -7,7 +7,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,8 @@ class LoadFailed(Exception):
 class Published:
     path: str
     rows: int
+    # What the raw zone held when the table was loaded, if that is known.
+    raw: str | None = None
 
 
 @dataclass
@@ -44,6 +46,8 @@ class ReloadResult:
     status: int
     loaded: dict[str, int] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)
+    # Published rows of tables that were left as they are, because nothing new was delivered for them.
+    carried: dict[str, int] = field(default_factory=dict)
     per_source: dict[str, dict[str, int]] = field(default_factory=dict)
     cut_values: dict[str, dict[str, int]] = field(default_factory=dict)
     message: str = ""
@@ -54,6 +58,7 @@ class ReloadResult:
         """One row per table and per warning, or one row for a run that failed."""
         rows = [(self.run_id, t, "loaded", n, None) for t, n in self.loaded.items()]
         rows += [(self.run_id, t, "skipped", None, "not delivered") for t in self.skipped]
+        rows += [(self.run_id, t, "carried", n, "unchanged") for t, n in self.carried.items()]
         rows += [(self.run_id, None, "warning", None, w) for w in self.warnings]
         if self.status != OK:
             rows = [(self.run_id, None, "failed", None, self.message)]
@@ -315,13 +320,19 @@ class Warehouse:
         run_id: str | None = None,
         strict_keys: bool = False,
         tables_at_once: int = TABLES_AT_ONCE,
+        states: Mapping[str, str] | None = None,
+        carry_unchanged: bool = False,
     ) -> ReloadResult:
         """Reload all contract tables, or one. Tables never delivered keep their previous rows.
 
         NULL in a required column and a malformed number fail the run; repeated keys do so only
         under ``strict_keys``. The external tables follow once the record is published, and a run begins
         with those that an earlier one left behind; either failing is a warning.
+
+        ``states`` says what the raw zone holds of each table. It is published with the table, and with
+        ``carry_unchanged`` a table whose state is the published one keeps its folder and its rows.
         """
+        states = states or {}
         run_id = run_id or uuid.uuid4().hex
         if table and table != "all" and table not in self.contracts:
             return ReloadResult(run_id, UNKNOWN_TABLE, message=f"no contract for {table}")
@@ -333,11 +344,16 @@ class Warehouse:
         self.recover()
         numbers = self._records()
         current = self.published()
+        if carry_unchanged:
+            same = [t for t in to_load if t in current and t in states and current[t].raw == states[t]]
+            result.carried = {t: current[t].rows for t in same}
+            to_load = [t for t in to_load if t not in same]
         try:
             with ThreadPoolExecutor(max_workers=max(1, tables_at_once)) as pool:
                 jobs = {t: pool.submit(self._load, raw_zone, t, run_id, strict_keys) for t in to_load}
             for name in to_load:
-                current[name], result.per_source[name], cut = jobs[name].result()
+                published, result.per_source[name], cut = jobs[name].result()
+                current[name] = replace(published, raw=states.get(name))
                 result.loaded[name] = current[name].rows
                 if cut:
                     result.cut_values[name] = cut

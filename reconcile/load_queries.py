@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from plantmart.contracts import LOADED_AT, PLANTS, SOURCE
 from plantmart.operators.merge import union_all
 from plantmart.operators.quality import check_tables, rows_per_source
 from plantmart.plans.backfill import BackfillBroken, backfill
-from plantmart.plans.daily_run import write_configs
+from plantmart.plans.daily_run import daily_run, write_configs
 from plantmart.plans.vault import file_digests, replicate, restore, vault_digests
 from plantmart.plans.warehouse import LoadFailed, require_success
 from plantmart.sources.delimited import Layout
@@ -615,3 +617,30 @@ def resumed_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = union_all([rows_per_source(rows, name).drop("unknown_source_rows") for name, rows in tables.items()])
     joined = counted.join(runs[0], ["table_name", SOURCE]).join(runs[1], ["table_name", SOURCE])
     return joined.withColumn("nothing_before", F.lit(nothing))
+
+
+_LATER_SQL = "TIMESTAMP '2026-07-02 06:00:00'"
+
+
+@query(
+    "SELECT 'customer' AS table_name, 'carried' AS status, source, count(*)::BIGINT AS row_count, last_updated_at AS loaded_at "
+    f"FROM ({_audited('customer', 'c_custkey')}) GROUP BY ALL UNION ALL "
+    "SELECT 'orders', 'loaded', source, count(*)::BIGINT, CASE WHEN source = 'FOS' THEN "
+    f"{_LATER_SQL} ELSE last_updated_at END FROM ({_audited('orders', 'o_orderkey')}) "
+    "WHERE source = 'DKQ' OR o_orderkey % 3 = 0 GROUP BY ALL"
+)
+def unchanged_extracts_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One extract of four changes: the others are not read again, and customer keeps its published folder."""
+    site = Site(spark, sf_dir)
+    site.deliver_tables("customer", "orders")
+    site.run(carry_unchanged=True)
+    site.deliver(site.table("orders").filter("o_orderkey % 2 = 1 AND o_orderkey % 3 = 0"), "FOS", "orders")
+    later = LOADED + timedelta(days=1)
+    run = daily_run(spark, site.zones, site.contracts, loaded_at=later, carry_unchanged=True)
+    statuses = run.report().where("table_name IS NOT NULL").select("table_name", "status")
+    counted = [
+        rows.groupBy(SOURCE, F.col(LOADED_AT).alias("loaded_at")).agg(F.count("*").alias("row_count"))
+        .withColumn("table_name", F.lit(name))
+        for name, rows in site.snapshot().tables().items()
+    ]
+    return union_all(counted).join(statuses.where("status IN ('carried', 'loaded')"), "table_name")

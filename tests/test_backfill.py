@@ -6,7 +6,9 @@ import os
 import pytest
 
 from plantmart.plans import backfill as module
-from plantmart.plans.backfill import BROKEN, CARRIED, INGESTED, BackfillBroken, backfill, ledger_of
+from plantmart.plans.backfill import BROKEN, CARRIED, INGESTED, BackfillBroken, backfill
+from plantmart.plans.daily_run import daily_run, ledger_of
+from plantmart.plans.ledger import Ledger
 from tests.lab import AT, DELIVERY, Lab
 
 
@@ -79,7 +81,7 @@ def test_a_run_that_stops_while_it_ingests_leaves_no_record(lab, scanned, monkey
     load(lab)
     lab.deliver("DKQ", "CUSTOMER", ["IDENTITY", "C7"])
     with monkeypatch.context() as patch:
-        patch.setattr(module.Ledger, "finish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        patch.setattr(Ledger, "finish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(BackfillBroken, match="lost"):
             load(lab)
     assert ("customer", "DKQ") not in ledger_of(lab.spark, lab.zones).finished()
@@ -106,3 +108,38 @@ def test_records_without_their_extract_do_not_count(lab, scanned):
     scanned.clear()
     load(lab)
     assert sorted(scanned) == [("customer", "DKQ"), ("phrase", "FOS")]
+
+
+def test_a_daily_run_carries_what_did_not_change(lab):
+    lab.run(carry_unchanged=True)
+    folders = {t: p.path for t, p in lab.warehouse().published().items()}
+    later = AT.replace(year=AT.year + 1)
+    lab.deliver("FOS", "CUSTOMER", ["IDENTITY", "C9"])
+
+    def again(**options):
+        return daily_run(lab.spark, lab.zones, lab.contracts, loaded_at=later, **options)
+
+    run = again(carry_unchanged=True)
+    assert [(i.table, i.source, i.rows) for i in run.ingested] == [("customer", "FOS", 1)]
+    assert sorted(run.carried) == [("customer", "DKQ"), ("phrase", "DKQ"), ("phrase", "FOS")]
+    assert run.reload.carried == {"phrase": 2 * (len(DELIVERY["PHRASE"]) - 1)} and set(run.reload.loaded) == {"customer"}
+    statuses = {r.table_name: r.status for r in run.report().collect() if r.status in ("carried", "loaded")}
+    assert statuses == {"customer": "loaded", "phrase": "carried"}
+    now = {t: p.path for t, p in lab.warehouse().published().items()}
+    assert now["phrase"] == folders["phrase"] and now["customer"] != folders["customer"]
+    assert {(r.source, r.last_updated_at.year) for r in lab.rows("customer").collect()} == {("DKQ", AT.year), ("FOS", later.year)}
+    # Without the option everything is read and rewritten, as always.
+    whole = again()
+    assert len(whole.ingested) == 4 and whole.carried == [] and whole.reload.carried == {}
+    assert {r.last_updated_at.year for r in lab.rows("phrase").collect()} == {later.year}
+    assert again(carry_unchanged=True).reload.loaded == {}
+
+
+def test_an_unknown_state_is_loaded_again(lab):
+    """Raw rows that no ledger knows, such as those of a run before there was one."""
+    from plantmart.plans.daily_run import ingest_landing, survey_landing
+
+    ingest_landing(lab.zone(), survey_landing(lab.spark, lab.zones), lab.contracts, AT)
+    lab.warehouse().reload(lab.zone())
+    run = lab.run(carry_unchanged=True)
+    assert len(run.ingested) == 4 and run.reload.carried == {}
