@@ -6,6 +6,9 @@ runs whose name occurs again stay active. At `least_lines` lines the runs with o
 of suffixes whose common prefix is at least that long; its first member stays, and the lines of all others
 are deleted. Neighbouring members join into the maximal repeated runs.
 
+A single line is a run of its own if it has `least_words` words, as a paragraph has, whether its neighbours are
+repeated or not; shorter single lines stay, as they may be chance.
+
 Names are 128-bit digests instead of ranks: only their equality is used, and ranks would need a global sort
 at every length.
 
@@ -26,18 +29,19 @@ from pyspark.sql import functions as F
 
 from plantmart.llm import arrays
 from plantmart.llm.repeats import NO_ID, keyed
-from plantmart.llm.storing import release, stored
+from plantmart.llm.storing import Steps, unused
 
-DEAD = "_dead_lines"
+LEAST_WORDS = 10
 WORD = "[^\\x20\\x09-\\x0D]"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc, row, i (number among the lines with a word), line (number among all), name."""
+    """doc, row, i (number among the lines with a word), line (number among all), name, words."""
     lines = docs.select("doc", "row", F.posexplode(F.split("text", "\n", -1)).alias("line", "value"))
     named = lines.where(F.col("value").rlike(WORD)).select(
-        "doc", "row", "line", F.unhex(F.md5("value")).alias("name")
-    )
+        "doc", "row", "line", F.unhex(F.md5("value")).alias("name"),
+        F.regexp_count("value", F.lit(WORD + "+")).alias("words"),
+    )
     # Lines of a document given twice share a number.
     place = F.dense_rank().over(Window.partitionBy("doc", "row").orderBy("line"))
     return named.select("*", place.alias("i"))
@@ -50,7 +54,7 @@ def _doubled(runs: DataFrame, step: int) -> DataFrame:
     return found.select("doc", "row", "i", F.unhex(F.md5(F.concat("name", "second"))).alias("name"))
 
 
-def _active(runs: DataFrame) -> DataFrame:
+def _active(runs: DataFrame, steps: Steps) -> DataFrame:
     """Runs whose name occurs more than once, with the place of the first.
 
     The names are written first: a join of two shuffled sides is one whose hot keys Spark splits, which it
@@ -58,31 +62,39 @@ def _active(runs: DataFrame) -> DataFrame:
     """
     place = F.struct("doc", "row", "i")
     names = runs.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    again = stored(names.where("first != last").select("name", "first"), "names")
+    again = steps.store(names.where("first != last").select("name", "first"), "names")
     return runs.join(again.hint("merge"), "name")
 
 
-def dead_lines(docs: DataFrame, least_lines: int = 2) -> DataFrame:
+def _later(runs: DataFrame, length: int) -> DataFrame:
+    """Where a run of `length` lines that has been before begins and ends."""
+    later = runs.where(F.struct("doc", "row", "i") != F.col("first"))
+    return later.select("doc", "row", "i", (F.col("i") + length).alias("end"))
+
+
+def dead_lines(docs: DataFrame, least_lines: int = 2, least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc, row, dead): per document the numbers of the lines to delete. `docs` is what keyed() gives."""
-    lines = stored(_lines(docs), "lines")
-    runs, length = stored(_active(lines.select("doc", "row", "i", "name")), "runs"), 1
+    steps = Steps(docs.sparkSession)
+    lines = steps.store(_lines(docs), "lines")
+    runs, length = steps.store(_active(lines.select("doc", "row", "i", "name", "words"), steps), "runs"), 1
+    single = steps.store(_later(runs.where(F.col("words") >= least_words), 1), "single-lines")
+    runs = runs.drop("words")
     while length < least_lines:
         step = min(length, least_lines - length)
-        runs = stored(_active(_doubled(runs.drop("first"), step)), "runs")
+        runs = steps.store(_active(_doubled(runs.drop("first"), step), steps), "runs")
         length += step
-        release(docs.sparkSession)
-    later = runs.where(F.struct("doc", "row", "i") != F.col("first"))
-    copies = later.select("doc", "row", "i", (F.col("i") + length).alias("end")).distinct()
+        steps.keep_only(lines, single, runs)
+    copies = _later(runs, length).unionByName(single).groupBy("doc", "row", "i").agg(F.max("end").alias("end"))
     before = Window.partitionBy("doc", "row").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     reach = F.max("end").over(before)
     marked = lines.join(copies, ["doc", "row", "i"], "left").withColumn("reach", reach).where("reach > i")
     dead = marked.groupBy("doc", "row").agg(F.sort_array(F.collect_set("line")).alias("dead"))
-    dead = stored(dead, "dead-lines")
-    release(docs.sparkSession)
+    dead = steps.store(dead, "dead-lines")
+    steps.keep_only(dead)
     return dead
 
 
-def _without(chunk: pa.RecordBatch) -> tuple[pa.Array, list[np.ndarray]]:
+def _without(chunk: pa.RecordBatch, dead_column: str) -> tuple[pa.Array, list[np.ndarray]]:
     """The texts without their dead lines; numbers of lines with a word, dead lines and runs of these."""
     data, offsets = arrays.text_bytes(chunk.column("text"))
     breaks = np.flatnonzero(data == 0x0A)
@@ -93,7 +105,7 @@ def _without(chunk: pa.RecordBatch) -> tuple[pa.Array, list[np.ndarray]]:
     ends = np.append(starts[1:], len(data))
     filled = np.searchsorted(words, ends) > np.searchsorted(words, starts)
     first = np.searchsorted(text, np.arange(n))
-    lists = chunk.column(DEAD)
+    lists = chunk.column(dead_column)
     counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     gone = lists.flatten().to_numpy(zero_copy_only=False) + np.repeat(first, counts)
     dead = np.zeros(len(starts), dtype=bool)
@@ -114,48 +126,50 @@ def _without(chunk: pa.RecordBatch) -> tuple[pa.Array, list[np.ndarray]]:
     return texts, [np.bincount(x, minlength=n) for x in (text, text[dead], text[begins])]
 
 
-def _with_dead(docs: DataFrame, least_lines: int) -> DataFrame:
+def _with_dead(docs: DataFrame, least_lines: int, least_words: int, dead_column: str) -> DataFrame:
     """The rows with the list of their dead lines, which is NULL for most.
 
     The lists grow with the documents, so they are merged with them and not broadcast, whatever their size.
     """
-    dead = dead_lines(keyed(docs), least_lines).hint("merge")
-    dead = dead.select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("dead").alias(DEAD))
+    of_doc, of_row = (unused(c, [*docs.columns, dead_column]) for c in ("of_doc", "of_row"))
+    dead = dead_lines(keyed(docs), least_lines, least_words).hint("merge")
+    dead = dead.select(F.col("doc").alias(of_doc), F.col("row").alias(of_row), F.col("dead").alias(dead_column))
     doc = F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID))
-    return docs.join(dead, (doc == F.col("_doc")) & (F.hash(docs["text"]) == F.col("_row")), "left")
+    same = (doc == F.col(of_doc)) & (F.xxhash64(docs["text"]) == F.col(of_row))
+    return docs.join(dead, same, "left").drop(of_doc, of_row)
 
 
-def deduplicated(docs: DataFrame, least_lines: int = 2) -> DataFrame:
+def deduplicated(docs: DataFrame, least_lines: int = 2, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, text without later copies, n_lines (with a word), n_deleted and n_runs of each row."""
-    marked = _with_dead(docs.select("doc_id", "text"), least_lines)
+    marked = _with_dead(docs.select("doc_id", "text"), least_lines, least_words, "dead")
 
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in arrays.chunks(batches):
-            texts, counts = _without(chunk)
+            texts, counts = _without(chunk, "dead")
             yield pa.RecordBatch.from_arrays(
                 [chunk.column("doc_id"), texts, *map(pa.array, counts)],
                 ["doc_id", "text", "n_lines", "n_deleted", "n_runs"],
             )
 
     schema = "doc_id bigint, text string, n_lines bigint, n_deleted bigint, n_runs bigint"
-    return marked.select(F.col("doc_id").cast("bigint"), "text", DEAD).mapInArrow(without, schema)
+    return marked.select(F.col("doc_id").cast("bigint"), "text", "dead").mapInArrow(without, schema)
 
 
-def cleaned(docs: DataFrame, least_lines: int = 2) -> DataFrame:
+def cleaned(docs: DataFrame, least_lines: int = 2, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents with all their columns; later copies are deleted from the texts.
 
     n_chars, if there is such a column, follows the text.
     """
     columns = docs.columns
+    dead = unused("dead", columns)
 
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in arrays.chunks(batches):
-            texts, _ = _without(chunk)
+            texts, _ = _without(chunk, dead)
             kept = [texts if c == "text" else chunk.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(kept, columns)
 
-    marked = _with_dead(docs, least_lines).select(*[docs[c] for c in columns], DEAD)
-    found = marked.mapInArrow(without, docs.schema)
+    found = _with_dead(docs, least_lines, least_words, dead).mapInArrow(without, docs.schema)
     if "n_chars" in columns:
         found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return found

@@ -27,7 +27,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plantmart.llm.storing import stored
+from plantmart.llm.storing import stored, unused
 
 # The period of the plain schedule, whole_shares() and schedule(), which tests compare with.
 PERIOD = 1000
@@ -182,14 +182,15 @@ def tempered(docs: DataFrame, power: float = 0.5) -> DataFrame:
 
 def placed(docs: DataFrame, weights: Weights, block: int = 16) -> DataFrame:
     """The documents with slot and place, in the order of the mix: file by file and row by row, if they are written."""
-    where = places(docs, weights, block).select(F.col("doc_id").alias("id"), F.col("row").alias("h"), "slot", "place")
-    spots = where.groupBy("id", "h").agg(F.collect_list(F.struct("slot", "place")).alias("spots"))
-    single = docs.withColumn("_row", row_hash(docs)).dropDuplicates(["doc_id", "_row"])
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("id")) & (F.col("_row") == F.col("h"))
-    spread = single.join(spots, same).withColumn("_spot", F.explode("spots"))
-    ordered = spread.repartitionByRange("_spot").sortWithinPartitions("_spot")
+    of_id, of_row, own, spots, spot = (unused(c, docs.columns) for c in ("of_id", "of_row", "own_row", "spots", "spot"))
+    where = places(docs, weights, block).select(F.col("doc_id").alias(of_id), F.col("row").alias(of_row), "slot", "place")
+    found = where.groupBy(of_id, of_row).agg(F.collect_list(F.struct("slot", "place")).alias(spots))
+    single = docs.withColumn(own, row_hash(docs)).dropDuplicates(["doc_id", own])
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(of_row))
+    spread = single.join(found, same).withColumn(spot, F.explode(spots))
+    ordered = spread.repartitionByRange(spot).sortWithinPartitions(spot)
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("slot", "place")]
-    return ordered.select(*kept, F.col("_spot.slot").alias("slot"), F.col("_spot.place").alias("place"))
+    return ordered.select(*kept, F.col(f"{spot}.slot").alias("slot"), F.col(f"{spot}.place").alias("place"))
 
 
 def mixed(docs: DataFrame, weights: Weights, block: int = 16) -> DataFrame:

@@ -37,7 +37,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
-ORACLES["op4_line_dedup"] = """
+ORACLES["op4_line_dedup"] = f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 every_line AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
@@ -55,9 +55,14 @@ ranked AS (
   SELECT doc_id, i, row_number() OVER (PARTITION BY line, second ORDER BY doc_id, i) AS copy
   FROM pairs WHERE second IS NOT NULL
 ),
+single AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) AS copy FROM lines
+  WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= {line_dedup.LEAST_WORDS}
+),
 dead AS (
   SELECT doc_id, i FROM ranked WHERE copy > 1
   UNION SELECT doc_id, i + 1 FROM ranked WHERE copy > 1
+  UNION SELECT doc_id, i FROM single WHERE copy > 1
 ),
 marked AS (
   SELECT e.doc_id, e.nr, e.line, l.i, d.i IS NOT NULL AS dead,

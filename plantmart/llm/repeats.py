@@ -86,12 +86,12 @@ class Rows:
 _SCHEMA = pa.schema(
     [
         ("kind", pa.int8()), ("key", pa.int64()), ("context", pa.int64()), ("doc", pa.int64()),
-        ("row", pa.int32()), ("start", pa.int32()), ("n", pa.int32()), ("lead", pa.int32()),
+        ("row", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("lead", pa.int32()),
         ("beacon", pa.bool_()),
     ]
 )
 _SQL = (
-    "kind tinyint, key bigint, context bigint, doc bigint, row int, start int, n int, lead int, beacon boolean"
+    "kind tinyint, key bigint, context bigint, doc bigint, row bigint, start int, n int, lead int, beacon boolean"
 )
 
 
@@ -246,7 +246,7 @@ def _compare(rows: DataFrame, windows: Windows, purpose: str) -> DataFrame:
 def keyed(docs: DataFrame) -> DataFrame:
     """doc (doc_id, or NO_ID), row (a hash that tells rows with equal ids apart), doc_id and text."""
     doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
-    return docs.select(doc.alias("doc"), F.hash("text").alias("row"), F.col("doc_id").cast("bigint"), "text")
+    return docs.select(doc.alias("doc"), F.xxhash64("text").alias("row"), F.col("doc_id").cast("bigint"), "text")
 
 
 def repeated(docs: DataFrame, windows: Windows) -> DataFrame:

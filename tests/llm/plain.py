@@ -80,11 +80,17 @@ def smallest_reachable(prints: list[int], distance: int = 4) -> list[int]:
         label = new
 
 
-def lines_without_copies(text_list: list[str | None], size: int = 2) -> list[tuple[str, int, int, int]]:
+def lines_without_copies(text_list: list[str | None], size: int = 2, least_words: int = 10) -> list[tuple[str, int, int, int]]:
     """Text, lines with a word, deleted lines, runs of these."""
     lines = [(t or "").split("\n") for t in text_list]
     filled = [[k for k, line in enumerate(ls) if WORD.search(line)] for ls in lines]
     gone = kept_windows([[ls[k] for k in f] for ls, f in zip(lines, filled)], size, every=False)
+    seen: set[str] = set()
+    for ls, f, g in zip(lines, filled, gone):
+        for at, k in enumerate(f):
+            if len(words(ls[k])) >= least_words:
+                g[at] |= ls[k] in seen
+                seen.add(ls[k])
     out = []
     for ls, f, g in zip(lines, filled, gone):
         dead = {k for k, x in zip(f, g) if x}

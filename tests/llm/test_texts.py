@@ -23,7 +23,10 @@ AWKWARD = [
     "Zürich ß € 漢字 \U0001f600 " * 41, "#$%& <> || ** " * 30, "EINS ZWEI drei vier", "eins zwei DREI vier", "\n\n\n",
     " ".join(random.Random(3).choice(["der", "die", "das", "nicht"]) for _ in range(3000)),
 ]
-CLASH = ("kept", "dead", "text_hash", "fingerprint", "start", "doc", "row", "key")
+CLASH = (
+    "kept", "dead", "text_hash", "fingerprint", "start", "doc", "row", "key", "id", "h", "spots", "spot", "kept_id", "kept_hash",
+    "own_id", "own_hash", "_place", "_row", "_doc", "of_doc", "of_row", "of_id", "own_row",
+)
 
 
 def rows_of(spark, texts, langs=None):
