@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from plantmart.llm import mixing
+from plantmart.llm.storing import stored
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -62,7 +63,7 @@ def test_the_pipeline_gives_its_rows_in_the_order_of_the_mix(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:3]:
         docs = stage(spark, docs, SMALL)
-    docs = docs.localCheckpoint()
+    docs = stored(docs, "mixing-test")
     rows = sorted((r.source, r.doc_id) for r in docs.select("source", "doc_id").collect())
     by_source = {}
     for source, doc in rows:

@@ -216,6 +216,30 @@ def test_rows_without_id_and_repeated_rows(spark):
     assert sorted((r.doc_id, r.text) for r in kept) == [(7, "anders"), (7, long), (8, None)]
 
 
+def test_rows_without_id_that_share_a_short_hash(spark):
+    """Texts of equal 32-bit hashes are not one document; each keeps its lines."""
+    made = spark.range(300_000).select(F.concat(F.lit("nummer "), "id", F.lit(" von vielen")).alias("text"))
+    pairs = made.groupBy(F.hash("text")).agg(F.collect_list("text").alias("texts")).where(F.size("texts") > 1)
+    texts = [t for r in pairs.collect() for t in r.texts]
+    assert len(texts) > 4
+    rows = [(None, t) for t in texts] + [(1, f"{PASSAGE}\n{PASSAGE}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = [r.text for r in line_dedup.deduplicated(docs).where("doc_id IS NULL").collect()]
+    assert sorted(kept) == sorted(texts)
+    kept = [r.text for r in substring.deduplicated(docs).where("doc_id IS NULL").collect()]
+    assert sorted(kept) == sorted(texts)
+    assert {r.n_removed for r in prefix_free.deduplicated(docs).where("doc_id IS NULL").collect()} == {0}
+
+
+def test_single_lines_count_from_ten_words_on(spark):
+    long, short = " ".join(f"w{k}" for k in range(10)), " ".join(f"w{k}" for k in range(9))
+    texts = [f"a\n{long}\nb", f"c\n{long}\nd", long, f"{short}\ne", f"f\n{short}", f"{long}\n{long}"]
+    found = line_dedup.deduplicated(rows_of(spark, texts))
+    expected = [x[0] for x in plain.lines_without_copies(texts)]
+    assert [r.text for r in sorted(found.collect(), key=lambda r: r.doc_id)] == expected
+    assert expected == [texts[0], "c\nd", "", texts[3], texts[4], ""]
+
+
 def test_pipeline(spark):
     docs = sorted(spark.read.parquet(f"{SMALL}/documents.parquet").collect(), key=lambda r: r.doc_id)
     verdicts = plain.quality_kept([(r.text, r.lang) for r in docs], quality_rules.Rules())
