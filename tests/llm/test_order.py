@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from plantmart.llm import arrays, mixing, nearest, queries
 from plantmart.llm.components import components
+from plantmart.llm.storing import stored
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -103,7 +104,7 @@ def test_nearest_recall_and_scores(spark):
     vectors = {r.vec_id: np.array(r.embedding, dtype=np.float64) for r in table.collect()}
     exact = neighbours(vectors)
     found = {}
-    for r in nearest.search(table, F.col("vec_id") % 100 == 0, block=300, queries_per_block=7).collect():
+    for r in nearest.search(table, F.col("vec_id") % 100 == 0, pass_bytes=8000).collect():
         found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
         assert abs(r.score - np.linalg.norm(vectors[r.query_id] - vectors[r.vec_id])) < 1e-9
     assert all([n for n, _, _ in sorted(rows)] == list(range(1, 11)) for rows in found.values())
@@ -130,9 +131,35 @@ def test_nearest_defined_cases(spark):
     assert nearest.search(table.where("false"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_codes_stay_where_they_are(spark):
+    """However many passes there are, no scan shuffles a vector, and the first reads only codes and scalars."""
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    codes = stored(nearest.encoded(table, 256, 5), "codes-test")
+    queries = nearest.as_queries(codes.where("vec_id % 100 = 0").select("vec_id", "vector", "dimension").toArrow(), 256, 5)
+    assert codes.where("length(code) <> 32").count() == 0
+    for found in (nearest.limits(codes, lambda: queries, 10, 3.0), nearest.reranked(codes, lambda: queries, 10, 3.0)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        scan = plan[plan.index("MapInArrow"):]
+        assert "Exchange" not in scan and "Join" not in scan
+        assert ("vector" in scan[scan.index("ReadSchema"):]) == (found.columns != ["query_id", "limit"])
+
+
+def test_bounds_hold_for_most_pairs(spark):
+    rng = np.random.default_rng(3)
+    x, q = (v / np.linalg.norm(v, axis=1)[:, None] for v in (rng.standard_normal((3000, 64)), rng.standard_normal((20, 64))))
+    widths = []
+    for bits in (64, 256):
+        rotation = nearest._rotation(64, bits, 5)
+        codes, own = nearest.encode(x, rotation)
+        products, error = nearest.estimates(codes, own, (q @ rotation.T).astype(np.float32), 3.0)
+        assert (np.abs(products - q @ x.T) <= error).mean() > 0.99
+        widths.append(error.mean())
+    assert widths[1] < 0.6 * widths[0]
+
+
 def test_many_equal_vectors(spark):
     table = spark.range(1000).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("embedding"))
-    found = nearest.search(table, F.col("vec_id") % 500 == 0, block=100).collect()
+    found = nearest.search(table, F.col("vec_id") % 500 == 0, pass_bytes=1500).collect()
     assert {(r.query_id, r.vec_id) for r in found} == {(0, k) for k in range(1, 11)} | {(500, k) for k in range(10)}
 
 
