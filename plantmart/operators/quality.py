@@ -163,25 +163,35 @@ def check_table(
     return count_violations(joined, contract.name, rules)
 
 
+def _of_sources(rows: DataFrame | None, sources: Sequence[str] | None) -> DataFrame | None:
+    return rows if rows is None or sources is None else rows.where(F.col(SOURCE).isin(list(sources)))
+
+
 def check_tables(
     tables: Mapping[str, DataFrame],
     contracts: Mapping[str, Contract],
     plants: Sequence[str] = PLANTS,
     size_of: Callable[[str, Sequence[str]], int | None] = lambda table, columns: None,
+    only: Mapping[str, Sequence[str] | None] | None = None,
 ) -> DataFrame:
     """Every row, key and reference check of the given typed tables as one DataFrame.
 
     ``size_of`` gives a known upper bound of the size of some columns of a table. Parents whose keys
     are within the limits for broadcasting are checked together with the row rules; each other one
     takes a pass of its own. Parents that were never published are missing, not left out.
+
+    ``only`` names the tables to check and their sources (None: all of them). Parents are read for these
+    sources alone too, since keys and references hold within a source.
     """
     found = []
-    for name, rows in tables.items():
+    for name in tables if only is None else only:
         contract = contracts[name]
+        sources = None if only is None else only[name]
+        rows = _of_sources(tables[name], sources)
         together: dict[Reference, DataFrame | None] = {}
         room = BROADCAST_BYTES * BROADCAST_TOTAL
         for reference in contract.references:
-            parent = tables.get(reference.parent)
+            parent = _of_sources(tables.get(reference.parent), sources)
             size = None if parent is None else size_of(reference.parent, [*reference.parent_columns, SOURCE])
             if parent is None:
                 together[reference] = None
