@@ -37,6 +37,10 @@ def monthly_rows(results: DataFrame, column: str = "annuel", code: str = MONTHLY
     return results.filter(F.col(column) == code)
 
 
+def window_start(as_of: Column, months: int = 24) -> Column:
+    return as_of - F.make_ym_interval(F.lit(0), F.lit(months))
+
+
 def rolling_window(
     results: DataFrame, date_column: str, as_of: datetime | Column, months: int = 24
 ) -> DataFrame:
@@ -46,5 +50,4 @@ def rolling_window(
     constant that reaches the Parquet scan.
     """
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
-    start = as_of - F.make_ym_interval(F.lit(0), F.lit(months))
-    return results.filter(F.col(date_column) > start)
+    return results.filter(F.col(date_column) > window_start(as_of, months))

@@ -102,6 +102,7 @@ def daily_run(
     run_id: str | None = None,
     strict_keys: bool = False,
     carry_unchanged: bool = False,
+    clustered: Mapping[str, str] | None = None,
 ) -> RunResult:
     """One run. A failing extract stops it before the reload, a failing reload fails the run.
 
@@ -113,6 +114,7 @@ def daily_run(
     Every extract is read and every table rewritten, so all rows carry the time of this run. With
     ``carry_unchanged``, an extract whose files the ledger knows is not read, and a table whose extracts are
     all known keeps its published folder; their rows keep the time of the run that read them last.
+    ``clustered`` names a column for tables that are to be written in ranges of it, see :class:`Warehouse`.
     """
     spark = session.configure(spark)
     for place in (zones.landed, zones.replicated):
@@ -142,7 +144,7 @@ def daily_run(
         # Recorded once they are copied too.
         for done in ingested:
             book.finish(done.table, done.source, done.rows, done.malformed, loaded_at)
-    warehouse = Warehouse(spark, zones.warehouse, contracts, zones.warehouse_database)
+    warehouse = Warehouse(spark, zones.warehouse, contracts, zones.warehouse_database, clustered)
     states = book.states(list(contracts))
     reloaded = warehouse.reload(zone, table, run_id, strict_keys, states=states, carry_unchanged=carry_unchanged)
     result = require_success(reloaded)

@@ -8,19 +8,24 @@ from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plantmart import storage
 from plantmart.contracts import PLANTS, SOURCE, SOURCE_LENGTH, Contract
 from plantmart.functions.casts import contract_projection, overlong
+from plantmart.operators.filters import rolling_window, window_start
 from plantmart.operators.merge import with_audit_columns
 from plantmart.operators.quality import REQUIRED, check_keys, typed_rules
 from plantmart.plans.ingest import NoRowCount
 from plantmart.sources.raw import RawZone, literal, quoted
 
 OK, UNKNOWN_TABLE, FAILED = 200, 400, 500
+# The day of a clustered moment, stored beside it: Spark skips row groups by dates, but not by moments without a zone.
+DAY = "_on_day"
 TABLES_AT_ONCE = 10
 
 
@@ -38,6 +43,8 @@ class Published:
     rows: int
     # What the raw zone held when the table was loaded, if that is known.
     raw: str | None = None
+    # The column whose ranges the files hold, if the table is clustered.
+    clustered: str | None = None
 
 
 @dataclass
@@ -105,6 +112,16 @@ class Snapshot:
         """Rows of a table, all sources merged; the declared schema spares reading footers."""
         return read_typed(self.spark, self.contracts[table], self.published[table].path)
 
+    def recent(self, table: str, column: str, as_of: datetime, months: int = 24) -> DataFrame:
+        """The rolling window over a moment; of a table clustered by it only the files and row groups of the window."""
+        entry, contract = self.published[table], self.contracts[table]
+        rows = self.read(table)
+        if entry.clustered == column and contract.column(column).kind == "timestamp":
+            schema = T.StructType([*contract.schema.fields, T.StructField(DAY, T.DateType())])
+            first = window_start(F.lit(as_of).cast("timestamp_ntz"), months).cast("date")
+            rows = self.spark.read.schema(schema).parquet(entry.path).where(F.col(DAY) >= first).select(*contract.schema.names)
+        return rolling_window(rows, column, as_of, months)
+
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in self.published}
 
@@ -135,15 +152,27 @@ class Warehouse:
     sessions can read the warehouse with SQL. The tables follow the record: each changes its location in
     one step and is never missing, a failure is a warning, and the next run moves what stayed
     behind. Tables move one after the other; reads that must agree with one another go through :meth:`snapshot`.
+
+    ``clustered`` names a column for some tables. Their files hold narrow ranges of it, so a filter on it skips
+    files and row groups by their statistics, and :meth:`Snapshot.recent` does for moments; the load
+    shuffles the table for that.
     """
 
     def __init__(
-        self, spark: SparkSession, base: str, contracts: Mapping[str, Contract], database: str | None = None
+        self,
+        spark: SparkSession,
+        base: str,
+        contracts: Mapping[str, Contract],
+        database: str | None = None,
+        clustered: Mapping[str, str] | None = None,
     ):
         self.spark = spark
         self.base = base.rstrip("/")
         self.contracts = contracts
         self.database = database
+        self.clustered = dict(clustered or {})
+        if unknown := [t for t, c in self.clustered.items() if c not in [column.name for column in contracts[t].columns]]:
+            raise ValueError(f"clustered by columns that the contracts lack: {unknown}")
 
     def _records(self) -> list[int]:
         names = storage.child_names(self.spark, f"{self.base}/published")
@@ -277,7 +306,7 @@ class Warehouse:
         counted.append((F.length(SOURCE) > SOURCE_LENGTH).alias(f"_cut_{SOURCE}"))
         rules = [r for r in typed_rules(contract, PLANTS) if r[0] == REQUIRED]
         counts = Observation()
-        observed = raw.select(*counted).observe(
+        observed = self._in_ranges(table, raw.select(*counted)).observe(
             counts,
             F.count(F.lit(1)).alias("rows"),
             *[F.count_if(F.col(SOURCE) == s).alias(f"source_{i}") for i, s in enumerate(sources)],
@@ -286,7 +315,7 @@ class Warehouse:
         )
         path = f"{self.base}/runs/{run_id}/{table}"
         (
-            observed.select(*contract.schema.names)
+            observed.select(*contract.schema.names, *self._days(table))
             .write.option("compression", "snappy")
             .partitionBy(SOURCE)
             .parquet(path)
@@ -303,7 +332,24 @@ class Warehouse:
                 )
         per_source = {s: seen[f"source_{i}"] for i, s in enumerate(sources)}
         cut = {name: seen[f"cut_{name}"] for name in limited if seen[f"cut_{name}"]}
-        return Published(path, seen["rows"]), per_source, cut
+        return Published(path, seen["rows"], clustered=self.clustered.get(table)), per_source, cut
+
+    def _in_ranges(self, table: str, rows: DataFrame) -> DataFrame:
+        """Rows of a clustered table in ranges of its column, sorted within them.
+
+        A value that many rows share, or NULL, is spread by a hash of the row. What is counted must be counted
+        above this: finding the ranges reads the rows once before.
+        """
+        if table not in self.clustered:
+            return rows
+        column = self.clustered[table]
+        spread = F.xxhash64(*self.contracts[table].schema.names)
+        return rows.repartitionByRange(F.col(column), spread).sortWithinPartitions(SOURCE, column)
+
+    def _days(self, table: str) -> list[Column]:
+        column = self.clustered.get(table)
+        is_moment = column is not None and self.contracts[table].column(column).kind == "timestamp"
+        return [F.col(column).cast("date").alias(DAY)] if is_moment else []
 
     def _counted(self, table: str, metrics: Mapping[str, int | None], path: str) -> dict[str, int]:
         """The metrics of a write. Without rows Spark may give none; otherwise one that is missing fails the load."""
