@@ -1,9 +1,11 @@
-"""What grows with the tables: lookups that are sent."""
+"""What grows with the tables: lookups that are sent, and the part files of a delivery."""
 
+import gzip
 import os
 
 from pyspark.sql import functions as F
 
+from reconcile import site
 from reconcile.registry import QUERIES
 
 
@@ -24,3 +26,23 @@ def test_a_lookup_is_sent_only_within_its_limit(spark, tmp_path):
         expected = [(k, line, way, k and 2 * k) for k, line in ((1, 1), (2, 1), (None, 2)) for way in ("sent", "shuffled")]
         rows = [(r.l_orderkey, r.l_linenumber, r.way, r.o_custkey) for r in found.collect()]
         assert sorted(rows, key=repr) == sorted(expected, key=repr)
+
+
+def delivered(spark, tmp_path, rows, parts):
+    there = site.Site(spark, str(tmp_path))
+    there.deliver(rows, "DKQ", "region", parts=parts)
+    folder = f"{there.zones.landed}/DKQ/REGION_prod_extract.csv.gz".removeprefix("file:")
+    files = [f"{folder}/{name}" for name in os.listdir(folder) if name.endswith(".gz")]
+    return [len(gzip.open(f, "rt").read().splitlines()) - 1 for f in files]
+
+
+def test_part_files_are_bounded_and_rows_stay_where_they_are_scanned(spark, tmp_path, monkeypatch):
+    spark.range(1000).repartition(8).write.parquet(f"{tmp_path}/t.parquet")
+    rows = spark.read.parquet(f"{tmp_path}/t.parquet")
+    held = rows.rdd.getNumPartitions()
+    monkeypatch.setattr(site, "PART_ROWS", 100)
+    for parts in (1, 2):
+        found = delivered(spark, tmp_path, rows, parts)
+        assert sum(found) == 1000 and max(found) <= 100
+    one = rows.coalesce(1)
+    assert held > 2 and len(delivered(spark, tmp_path, one.limit(40), 4)) == 4
