@@ -22,7 +22,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, by five-word shingles and a similarity of 0.8."""
+    """One document of each group of near-duplicates stays: SimHash links verified by the similarity of five-word
+    shingles, 0.8 or more, and the pairs with that similarity whose fingerprints are further apart."""
     return near_copies.one_of_each(docs)
 
 

@@ -1,4 +1,9 @@
-"""Near-duplicates by the exact Jaccard similarity of word shingles, found through prefix filtering.
+"""Near-duplicates by SimHash, verified by the exact Jaccard similarity of word shingles; the rest by prefix filtering.
+
+First come the links of op7's method (`simhash.py`), here over five-word shingles: fingerprints of 64 bits, found
+within four bits through deletion-variant signatures. A text is compared with the nearest of
+those that its fingerprint links it to; a link needs the similarity. Copies with a similarity of 0.8 differ by ten bits or so,
+beyond any distance that such signatures can index. So what the fingerprints leave is found exactly, as follows.
 
 The shingles of a text are a set of 64-bit hashes. All sets are put into one common order; two sets of n and
 m shingles with similarity t or more have one in common among the first n - ceil(t n) + 1 of the one and the
@@ -8,7 +13,7 @@ puts shingles last that a sample finds frequent. It decides on the work to do, n
 different sizes cannot be similar, so a key that several texts have is divided by classes of sizes; neighbouring
 classes overlap.
 
-Texts with equal sets are one node. In a first round each node is compared with one other only, the nearest of the
+Texts with equal sets are one node. In a first round each node that no fingerprint has linked to it is compared with one other only, the nearest of the
 smallest nodes of its keys. That joins most groups with one comparison a node. Then only keys whose nodes are
 still in several components go on: they compare eight of their nodes with the others, then 64, and so on to all, so a
 crowd of near copies does not turn into all of its pairs.
@@ -114,7 +119,7 @@ aggregate(sequence(0, least(size(x), size(y)) - 1), 0, (total, i) -> total + bit
 
 
 def _marked(docs: DataFrame, size: int, percent: int, level: np.ndarray) -> DataFrame:
-    """doc_id, hash of the text, node, n (shingles), first (the shingles of the prefix) and the sketch of each row."""
+    """doc_id, hash of the text, node, n (shingles), fingerprint, first (the shingles of the prefix) and the sketch of each row."""
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in arrays.chunks(batches, most=simhash.SHINGLE_BYTES):
@@ -128,12 +133,13 @@ def _marked(docs: DataFrame, size: int, percent: int, level: np.ndarray) -> Data
             taken = ordered[arrays.gathered(before[:-1], take)]
             offsets = np.concatenate(([0], np.cumsum(take))).astype(np.int32)
             first = pa.ListArray.from_arrays(pa.array(offsets), pa.array(taken.view(np.int64)))
-            kept = [chunk.column("doc_id"), chunk.column("hash"), pa.array(node.view(np.int64)), pa.array(n), first]
-            names = ["doc_id", "hash", "node", "n", "first", "sketch"]
+            prints = pa.array(simhash.fingerprints_of(chunk.column("text"), size).view(np.int64))
+            kept = [chunk.column("doc_id"), chunk.column("hash"), pa.array(node.view(np.int64)), pa.array(n), prints, first]
+            names = ["doc_id", "hash", "node", "n", "fingerprint", "first", "sketch"]
             yield pa.RecordBatch.from_arrays([*kept, _sketch(hashes, before)], names)
 
     texts = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("hash"), "text")
-    schema = "doc_id bigint, hash bigint, node bigint, n bigint, first array<bigint>, sketch array<bigint>"
+    schema = "doc_id bigint, hash bigint, node bigint, n bigint, fingerprint bigint, first array<bigint>, sketch array<bigint>"
     return texts.mapInArrow(marked, schema)
 
 
@@ -187,6 +193,20 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(near).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
+def _fingerprint_pairs(marked: DataFrame, steps: Steps) -> DataFrame:
+    """Pairs (a, b) of nodes: each with the smallest of its fingerprint, and those of linked fingerprints."""
+    prints = steps.store(marked.groupBy("node").agg(F.min("fingerprint").alias("fingerprint")), "near-prints")
+    first = steps.store(prints.groupBy("fingerprint").agg(F.min("node").alias("first")), "near-firsts")
+    alike = prints.join(first.hint("merge"), "fingerprint").where("node != first")
+    found = steps.store(simhash.links(first.select("fingerprint")).distinct(), "near-simhash")
+    ones = first.select(F.col("fingerprint").alias("u"), F.col("first").alias("a"))
+    others = first.select(F.col("fingerprint").alias("v"), F.col("first").alias("b"))
+    linked = found.join(ones.hint("merge"), "u").join(others.hint("merge"), "v")
+    linked = linked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = alike.select(F.col("first").alias("a"), F.col("node").alias("b")).unionByName(linked)
+    return steps.store(pairs.distinct(), "near-candidates")
+
+
 def _several(keyed: DataFrame) -> DataFrame:
     """(key, node, n) of the keys that several nodes have."""
     several = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi")
@@ -218,11 +238,12 @@ def _open(live: DataFrame, roots: DataFrame | None, steps: Steps) -> DataFrame:
         labelled = labelled.select("key", "node", "n", F.coalesce("root", "node").alias("label"))
         # Written, so that Spark can split the hot keys of the join.
         labelled = steps.store(labelled, "near-labelled")
-    least = F.min(F.struct("node", "n"))
+    least = F.min(F.struct("node", "n", "label"))
     keys = labelled.groupBy("key").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("of"), least.alias("head")
     )
-    keys = keys.where("lo != hi").select("key", "of", F.col("head.node").alias("a"), F.col("head.n").alias("m"))
+    head = [F.col(f"head.{c}").alias(name) for c, name in (("node", "a"), ("n", "m"), ("label", "a_label"))]
+    keys = keys.where("lo != hi").select("key", "of", *head)
     return labelled.join(keys.hint("merge"), "key")
 
 
@@ -241,15 +262,17 @@ def _pairs(rows: DataFrame, leaders: int, percent: int) -> DataFrame:
     chosen = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) * F.col("of") < (leaders << 20)
     head = {"node": "head", "label": "head_label", "n": "m"}
     heads = rows.where((F.col("of") <= FEW) | chosen).select("key", *[F.col(c).alias(name) for c, name in head.items()])
-    pairs = rows.drop("m").join(heads.hint("merge"), "key").where("head != node AND head_label != label").where(_fit(percent))
+    pairs = rows.drop("m", "a_label").join(heads.hint("merge"), "key").where("head != node AND head_label != label").where(_fit(percent))
     return pairs.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
 
 
 def links(docs: DataFrame, marked: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame | None:
     """(node, root) of the nodes that are not the smallest of their component; None if there are none."""
     steps = Steps(docs.sparkSession)
+    candidates = _fingerprint_pairs(marked, steps)
+    steps.keep_only(candidates)
     live = steps.store(_live(marked, percent, steps), "near-live")
-    steps.keep_only(live)
+    steps.keep_only(candidates, live)
     if live.isEmpty():
         steps.keep_only()
         return None
@@ -260,8 +283,32 @@ def links(docs: DataFrame, marked: DataFrame, size: int = SIZE, percent: int = P
     names = simhash.identity(F.col("row.doc_id"), F.col("row.hash"))
     named = [c.alias(name) for c, name in zip(names, ("h1", "h2"))]
     nodes = steps.store(nodes.select("node", *named, "n", "sketch"), "near-nodes")
-    steps.keep_only(live, nodes)
-    leaders, roots, found = 0, None, None
+    steps.keep_only(candidates, live, nodes)
+
+    def linked(pairs: DataFrame, found: DataFrame | None) -> DataFrame | None:
+        """The links found so far and those of the pairs that have the similarity."""
+        pairs = steps.store(pairs.select("a", "b"), "near-pairs")
+        if pairs.isEmpty():
+            return found
+        asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        rows = nodes.select("node", "h1", "h2").join(asked.hint("merge"), "node")
+        sets = steps.store(_sets_of(docs, steps.store(rows, "near-asked"), size), "near-sets")
+        similar = _similar(pairs, sets, percent)
+        return steps.store(similar if found is None else found.unionByName(similar), "near-links")
+
+    def rooted(found: DataFrame | None) -> DataFrame | None:
+        if found is None or found.isEmpty():
+            return None
+        return components(found).select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        """Of the pairs that can have the similarity one for each `b`."""
+        least = F.min(F.struct("apart", "a")).alias("nearest")
+        return _near(pairs, nodes, percent).groupBy("b").agg(least).select("nearest.a", "b")
+
+    found = linked(nearest(candidates), None)
+    steps.keep_only(live, nodes, found)
+    leaders, roots = 0, rooted(found)
     while True:
         open_rows = steps.store(_open(live, roots, steps), "near-open")
         if open_rows.isEmpty():
@@ -270,18 +317,11 @@ def links(docs: DataFrame, marked: DataFrame, size: int = SIZE, percent: int = P
         if leaders:
             pairs = _near(_pairs(open_rows, leaders, percent), nodes, percent)
         else:
-            heads = open_rows.where("a != node").where(_fit(percent)).select("a", F.col("node").alias("b")).distinct()
-            nearest = F.min(F.struct("apart", "a")).alias("nearest")
-            pairs = _near(heads, nodes, percent).groupBy("b").agg(nearest).select("nearest.a", "b")
-        pairs = steps.store(pairs.select("a", "b"), "near-pairs")
-        if not pairs.isEmpty():
-            asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-            rows = nodes.select("node", "h1", "h2").join(asked.hint("merge"), "node")
-            sets = steps.store(_sets_of(docs, steps.store(rows, "near-asked"), size), "near-sets")
-            similar = _similar(pairs, sets, percent)
-            found = steps.store(similar if found is None else found.unionByName(similar), "near-links")
-            if not found.isEmpty():
-                roots = components(found).select(F.col("u").alias("node"), F.col("v").alias("root"))
+            heads = open_rows.where("a_label != label").where(_fit(percent)).select("a", F.col("node").alias("b")).distinct()
+            pairs = nearest(heads)
+        more = linked(pairs, found)
+        if more is not found:
+            found, roots = more, rooted(more)
         if leaders:
             # All pairs of the other keys have been compared.
             rest = open_rows.where(F.col("of") > max(FEW, leaders)).select("key", "node", "n")

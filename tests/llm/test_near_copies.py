@@ -3,6 +3,8 @@
 import os
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -106,3 +108,35 @@ def test_superseded_steps_are_deleted(spark):
     near_copies.one_of_each(frame(spark, corpus())).collect()
     left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
     assert left <= {"near-kept", "links"}
+
+
+def test_fingerprints_link_first_and_the_similarity_decides(spark, monkeypatch):
+    """Every distinct fingerprint is looked up, links are verified, and what they leave is found all the same."""
+    texts = corpus()
+    # Equal fingerprints, but no similarity: all shingles but a few are repeats of one.
+    repeated = "ab " * 200
+    texts += [repeated + " ".join(f"q{k}r{j}" for j in range(9)) for k in range(3)]
+    searched, checked = [], []
+    links, similar = near_copies.simhash.links, near_copies._similar
+
+    def searching(prints, *rest):
+        searched.extend(r.fingerprint for r in prints.collect())
+        found = links(prints, *rest)
+        assert found.count() > 0
+        return found
+
+    def checking(pairs, sets, percent):
+        kept = similar(pairs, sets, percent)
+        checked.append((pairs.count(), kept.count()))
+        return kept
+
+    monkeypatch.setattr(near_copies.simhash, "links", searching)
+    monkeypatch.setattr(near_copies, "_similar", checking)
+    found = near_copies.one_of_each(frame(spark, texts))
+    assert sorted(r.doc_id for r in found.collect()) == first_of_each(texts)
+    texts_of = pa.array([(t or "").encode() for t in texts], pa.large_binary())
+    prints = near_copies.simhash.fingerprints_of(texts_of, 5).view(np.int64)
+    assert len(set(prints[-3:].tolist())) == 1
+    assert len(set(searched)) == len(searched) and set(searched) <= set(prints.tolist())
+    # The first comparison is that of the fingerprints; it finds links, and later ones find the others.
+    assert checked[0][1] > 0 and sum(n for _, n in checked[1:]) > 0
