@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from plantmart.llm import arrays
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 NONE = np.int32(2**31 - 1)
 
 
@@ -237,6 +237,10 @@ def encode(
                     columns["decoded"] = _decoded(vocabulary, tokens, offsets)
                 columns |= {c: chunk.column(c) for c in carried}
                 yield pa.RecordBatch.from_pydict(columns)
+                del tokens, offsets, lists, columns, chunk
+            # What a block has freed is no use to the next one while the executor's other tasks need it.
+            del block
+            arrays.give_back()
 
     texts = docs.select(F.col("doc_id").cast("bigint"), "text", *carried)
     schema = "doc_id bigint, tokens array<int>" + (", decoded binary" if decoded else "")
