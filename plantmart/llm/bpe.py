@@ -26,8 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantmart.llm import arrays
+from plantmart.llm.storing import in_small_batches
 
 BLOCK_BYTES = 4 << 20
+CHUNK_BYTES = 256 << 10
+# Of the Arrow batches that come from Spark.
+BATCH_BYTES = 1 << 20
+# Positions that enter the index of pairs at a time.
+ENTERED = 1 << 18
 NONE = np.int32(2**31 - 1)
 
 
@@ -50,7 +56,7 @@ class Vocabulary:
                     pairs[left << 32 | right] = rank
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.ranks = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int32)
-        self.pairs = pairs
+        self.square = self.merged(np.repeat(self.single, 256), np.tile(self.single, 256))
         size = max(ranks.values()) + 1
         tokens = [b""] * size
         self.known = np.zeros(size, dtype=bool)
@@ -71,7 +77,7 @@ class Vocabulary:
         """One word, always merging the leftmost pair of lowest rank."""
         tokens = [int(self.single[b]) for b in word]
         while len(tokens) > 1:
-            found = [self.pairs.get(a << 32 | b, int(NONE)) for a, b in zip(tokens, tokens[1:])]
+            found = self.merged(np.array(tokens[:-1]), np.array(tokens[1:])).tolist()
             least = min(found)
             if least == NONE:
                 break
@@ -89,14 +95,14 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.n
         return np.empty(0, np.int32), np.zeros(len(words) + 1, np.int64)
     token = vocabulary.single[data]
     ends = np.cumsum(lengths)
-    after = np.arange(1, n + 1, dtype=np.int64)
+    place = np.int32 if n <= NONE else np.int64
+    after = np.arange(1, n + 1, dtype=place)
     after[ends[lengths > 0] - 1] = -1
-    before = np.arange(-1, n - 1, dtype=np.int64)
+    before = np.arange(-1, n - 1, dtype=place)
     before[(ends - lengths)[lengths > 0]] = -1
     rank = np.full(n, NONE, dtype=np.int32)
-    has = np.flatnonzero(after >= 0)
-    square = vocabulary.merged(np.repeat(vocabulary.single, 256), np.tile(vocabulary.single, 256))
-    rank[has] = square[data[has].astype(np.int64) * 256 + data[has + 1]]
+    rank[:-1] = vocabulary.square[(data[:-1].astype(np.uint16) << 8) | data[1:]]
+    rank[after < 0] = NONE
 
     index: dict[int, list[np.ndarray]] = {}
 
@@ -114,8 +120,11 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.n
                 fresh.append(r)
         return fresh
 
-    mergeable = np.flatnonzero(rank != NONE)
-    queue = enter(mergeable, rank[mergeable]) if len(mergeable) else []
+    queue: list[int] = []
+    for at in range(0, n, ENTERED):
+        mergeable = (np.flatnonzero(rank[at : at + ENTERED] != NONE) + at).astype(place)
+        if len(mergeable):
+            queue += enter(mergeable, rank[mergeable])
     heapq.heapify(queue)
     dead = np.zeros(n, dtype=bool)
     odd: set[int] = set()
@@ -175,9 +184,11 @@ class _Numbered(dict):
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
     block, size = [], 0
-    for chunk in arrays.chunks(batches):
-        block.append(chunk)
+    for chunk in arrays.chunks(batches, most=CHUNK_BYTES):
+        # A copy, as a slice would keep the whole batch while the next one is read.
+        block.append(chunk.take(pa.array(np.arange(chunk.num_rows))))
         size += chunk.column("text").nbytes
+        del chunk
         if size >= BLOCK_BYTES:
             yield block
             block, size = [], 0
@@ -225,10 +236,10 @@ def encode(
     Each match of `pattern` is encoded separately; there are no special tokens. With `decoded`, the tokens
     are decoded again in the same pass, into the column `decoded`. Columns named in `carried` come along.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
+    shared = docs.sparkSession.sparkContext.broadcast((Vocabulary(ranks), pattern))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, split = Vocabulary(shared.value[0]), regex.compile(shared.value[1])
+        vocabulary, split = shared.value[0], regex.compile(shared.value[1])
         for block in _blocks(batches):
             for chunk, (tokens, offsets) in zip(block, _encoded_block(block, vocabulary, split)):
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tokens))
@@ -245,15 +256,15 @@ def encode(
     texts = docs.select(F.col("doc_id").cast("bigint"), "text", *carried)
     schema = "doc_id bigint, tokens array<int>" + (", decoded binary" if decoded else "")
     schema += "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carried)
-    return texts.mapInArrow(encoded, schema)
+    return in_small_batches(texts, BATCH_BYTES).mapInArrow(encoded, schema)
 
 
 def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """The rows of (doc_id, tokens) with the bytes that the tokens stand for, as `decoded`."""
-    shared = rows.sparkSession.sparkContext.broadcast(ranks)
+    shared = rows.sparkSession.sparkContext.broadcast(Vocabulary(ranks))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value)
+        vocabulary = shared.value
         for batch in batches:
             lists = batch.column("tokens")
             sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
