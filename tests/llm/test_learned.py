@@ -1,5 +1,9 @@
 """Classifiers: held-out accuracy, independence of other columns, defined cases."""
 
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +81,29 @@ def test_without_labels_or_documents(spark, operator, label):
     assert len(unlabelled) == 1
     one_kind = operator(docs, labels.withColumn(label, F.lit(1))).select("score").distinct().collect()
     assert all(r.score > 0.99 for r in one_kind)
+
+
+def test_thresholds_come_from_scores_of_texts_left_out_of_fitting(monkeypatch):
+    """Labels by chance can only be known to a network that has learnt these very texts."""
+    chance = random.Random(3)
+    words = ["".join(chance.choices("abcdefghij", k=9)) for _ in range(800)]
+    texts = [" ".join(chance.choices(words, k=20)) for _ in range(400)]
+    labels = [chance.randrange(2) for _ in texts]
+    texts, labels = texts + texts[:40], labels + labels[:40]
+    rows = pa.table({"doc_id": range(len(texts)), "lang": ["de"] * len(texts), "text": texts, "y": labels})
+    seen = {}
+    monkeypatch.setattr(toxicity, "_best_threshold", lambda scores, y: seen.update(scores=scores, y=y) or 0.25)
+    settings = toxicity.Settings()
+    tables, thresholds = toxicity.fit(rows, settings)
+    assert thresholds == {"de": 0.25}
+
+    def better(scores):
+        """How often a row with label 1 has a higher score than one with label 0."""
+        ones, others = scores[seen["y"] == 1], scores[seen["y"] == 0]
+        return (ones[:, None] > others[None, :]).mean()
+
+    whole = np.concatenate(
+        [tables.score(*toxicity.hashed(c.column("text"))) for c in toxicity.arrays.chunks(iter(rows.to_batches()))]
+    )
+    assert better(whole) > 0.8 and better(seen["scores"]) < 0.65
+    assert np.array_equal(seen["scores"][:40], seen["scores"][400:])
