@@ -3,11 +3,12 @@
 import hashlib
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from plantmart.plans import vault
-from plantmart.plans.vault import file_digests, tree_roots, vault_digests
+from plantmart.plans.vault import file_digests, replicate, tree_roots, vault_digests
 from plantmart.sources.landing import discover
 
 
@@ -59,3 +60,17 @@ def test_damage_in_the_vault_shows(spark):
 def test_roots_of_no_files(spark):
     none = spark.createDataFrame([], "path string, bytes bigint, chunk_no bigint, digest string")
     assert tree_roots(none, ["path"]).collect() == []
+
+
+def test_a_task_holds_few_chunks_of_a_large_file(spark, tmp_path):
+    size = 72 << 20
+    (tmp_path / "DKQ").mkdir()
+    (tmp_path / "DKQ" / "A.csv").write_bytes(os.urandom(size))
+    files = discover(spark, str(tmp_path))
+    accepted = files.select(F.struct(F.col("path").alias("source_path"), F.lit("DKQ").alias("source_system")).alias("job"))
+    replicate(files, accepted, str(tmp_path / "vault"), total_bytes=1, chunk_bytes=2 << 20)
+    (written,) = (tmp_path / "vault").rglob("*.parquet")
+    stored = pq.ParquetFile(written).metadata
+    groups = [stored.row_group(k) for k in range(stored.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == size >> 21
+    assert max(g.total_byte_size for g in groups) <= 40 << 20
